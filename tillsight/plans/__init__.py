@@ -1,0 +1,27 @@
+"""Analytics marts over the star (customer, retention, sales, products, geography, executive),
+plus the ETL steps exposed as queries. ``registry()`` maps each query key to a callable
+``(star) -> DataFrame``; ``oracle()`` maps keys to DuckDB SQL."""
+
+from __future__ import annotations
+
+import importlib
+
+_MODULES = ["sales"]
+
+
+def _mods():
+    return [importlib.import_module(f"tillsight.plans.{m}") for m in _MODULES]
+
+
+def registry() -> dict:
+    out = {}
+    for m in _mods():
+        out.update(m.MARTS)
+    return out
+
+
+def oracle() -> dict:
+    out = {}
+    for m in _mods():
+        out.update(m.ORACLE)
+    return out
