@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sales"]
+_MODULES = ["sales", "executive", "geography"]
 
 
 def _mods():
