@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["sales", "executive", "geography", "products"]
+_MODULES = ["customer", "sales", "executive", "geography", "products"]
 
 
 def _mods():
