@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["customer", "sales", "executive", "geography", "products"]
+_MODULES = ["customer", "retention", "sales", "executive", "geography", "products"]
 
 
 def _mods():
@@ -20,8 +20,15 @@ def registry() -> dict:
     return out
 
 
+def etl_queries() -> dict:
+    """ETL steps and checks, as ``(spark, sf_dir) -> DataFrame``."""
+    from tillsight.plans import etl
+    return dict(etl.QUERIES)
+
+
 def oracle() -> dict:
+    from tillsight.plans import etl
     out = {}
-    for m in _mods():
+    for m in _mods() + [etl]:
         out.update(m.ORACLE)
     return out
