@@ -94,7 +94,7 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
                  .agg(F.max_by(F.struct(*last_fields), F.col("_lrn")).alias("_l"))
                  .select(F.col("_pid").alias("_q"), F.col("_lg"), "_l.*"))
 
-    firsts = bounds.select("_pid", "_fg")
+    firsts = bounds.select("_pid", "_fg", "_cnt")
     if rank_on:
         first_tie = (local.join(F.broadcast(bounds.select("_pid", "_fg")), ["_pid"])
                           .where(g.eqNullSafe(F.col("_fg")) & (F.col("_lrn") == 1))
@@ -109,11 +109,10 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     corr = (firsts.join(last, firsts["_fg"].eqNullSafe(last["_lg"]) & (last["_q"] < firsts["_pid"]), "left")
                   .groupBy(*[c for c in firsts.columns])
                   .agg(*aggs))
-    out = local.join(F.broadcast(corr), ["_pid"], "left")
     if with_total:
-        # One number, summed from the per-partition counts (one row per partition).
-        total = bounds.agg(F.sum("_cnt")).first()[0] or 0
-        out = out.withColumn(with_total, F.lit(int(total)).cast("long"))
+        # The row count rides along in the summary: a sum over its one row per partition.
+        corr = corr.withColumn(with_total, F.sum("_cnt").over(Window.partitionBy()).cast("long"))
+    out = local.join(F.broadcast(corr), ["_pid"], "left")
     is_first = g.eqNullSafe(F.col("_fg"))
     off = F.when(is_first, F.coalesce(F.col("_off"), F.lit(0))).otherwise(F.lit(0))
     if row_number:
@@ -125,7 +124,7 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
         local_t = dict(local.dtypes)[f"_lrs_{o}"]
         soff = F.when(is_first, F.col(f"_soff_{o}"))
         out = out.withColumn(o, (F.col(f"_lrs_{o}") + F.coalesce(soff, F.lit(0))).cast(local_t))
-    drop = ["_pid", "_lrn", "_lrk", "_fg", "_off", "_eq", "_tie_first"] + \
+    drop = ["_pid", "_lrn", "_lrk", "_fg", "_cnt", "_off", "_eq", "_tie_first"] + \
            [f"_lrs_{o}" for o in running] + [f"_soff_{o}" for o in running]
     return out.drop(*[c for c in drop if c in out.columns])
 

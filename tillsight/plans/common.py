@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from tillsight.functions.numeric import round_money, round_to
 
 
+def orders(star) -> DataFrame:
+    """The order-grain aggregate (see ``operators.star.order_grain``), read from the warehouse
+    when it was written there, else computed from the fact."""
+    if getattr(star, "fact_orders", None) is not None:
+        return star.fact_orders
+    from tillsight.operators.star import order_grain
+    return order_grain(star.fact_sales)
+
+
 def with_date(fact: DataFrame, dim_date: DataFrame, *cols: str) -> DataFrame:
     return fact.join(F.broadcast(dim_date.select("date_key", *cols)), "date_key")
 
@@ -57,6 +66,18 @@ def avg_of(c: str, n: int | None = 2) -> Column:
     return round_to(v, n) if n is not None else v
 
 
+def order_value_avg(n: int | None = 2) -> Column:
+    """ROUND(AVG(order_value), n) over lines, from the order grain (Σ order value / Σ count)."""
+    v = F.sum("order_value").cast("double") / F.sum("ov_n")
+    return round_to(v, n) if n is not None else v
+
+
+def line_avg(sum_col: str = "revenue", n: int | None = 2) -> Column:
+    """Mean per line from the order grain (Σ sum_col / Σ lines)."""
+    v = F.sum(sum_col).cast("double") / F.sum("lines")
+    return round_to(v, n) if n is not None else v
+
+
 def units(c: str = "quantity") -> Column:
     return F.sum(c).cast("long")
 

@@ -10,8 +10,8 @@ from tillsight.functions.numeric import pct, round_money
 from tillsight.operators.ranking import ranked_top
 from tillsight.operators.star import Star
 from tillsight.oracle import sql as O
-from tillsight.plans.common import (avg_of, bigint_cols, money_sum, n_customers, n_orders, units,
-                                    with_customer, with_date, with_location)
+from tillsight.plans.common import (bigint_cols, money_sum, n_customers, n_orders, order_value_avg, orders,
+                                    units, with_customer, with_date, with_location)
 
 
 def _rank_desc(c: str, *part: str):
@@ -20,11 +20,11 @@ def _rank_desc(c: str, *part: str):
 
 def by_region(star: Star) -> DataFrame:
     """G1."""
-    f = with_location(star.fact_sales, star.dim_location, "region", "country")
+    f = with_location(orders(star), star.dim_location, "region", "country")
     g = f.groupBy("region").agg(F.count_distinct("country").alias("country_count"),
                                 n_orders().alias("order_count"), n_customers().alias("unique_customers"),
                                 F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
-                                avg_of("order_value").alias("avg_order_value"))
+                                order_value_avg().alias("avg_order_value"))
     g = (g.withColumn("revenue_rank", _rank_desc("_rev"))
           .withColumn("revenue_share_pct", pct("_rev", F.sum("_rev").over(Window.partitionBy())))
           .withColumn("total_revenue", round_money("_rev")))
@@ -35,11 +35,11 @@ def by_region(star: Star) -> DataFrame:
 
 def by_country(star: Star) -> DataFrame:
     """Global and regional ranks and shares."""
-    f = with_location(star.fact_sales, star.dim_location, "region", "country")
+    f = with_location(orders(star), star.dim_location, "region", "country")
     g = f.groupBy("region", "country").agg(
         n_orders().alias("order_count"), n_customers().alias("unique_customers"),
         F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
-        avg_of("order_value").alias("avg_order_value"), units().alias("total_units_sold"))
+        order_value_avg().alias("avg_order_value"), units().alias("total_units_sold"))
     g = (g.withColumn("global_rank", _rank_desc("_rev"))
           .withColumn("region_rank", _rank_desc("_rev", "region"))
           .withColumn("global_revenue_share_pct", pct("_rev", F.sum("_rev").over(Window.partitionBy())))
@@ -53,10 +53,10 @@ def by_country(star: Star) -> DataFrame:
 
 def top_markets(star: Star, k: int = 10) -> DataFrame:
     """Top k countries (ties at the cut broken by country)."""
-    f = with_location(star.fact_sales, star.dim_location, "region", "country")
+    f = with_location(orders(star), star.dim_location, "region", "country")
     g = f.groupBy("country", "region").agg(
         n_customers().alias("unique_customers"), n_orders().alias("order_count"),
-        F.sum("revenue").alias("_rev"), avg_of("order_value").alias("avg_order_value"))
+        F.sum("revenue").alias("_rev"), order_value_avg().alias("avg_order_value"))
     top = ranked_top(g, [("_rev", False), ("country", True)], k, "_rev", "revenue_rank")
     top = top.withColumn("total_revenue", round_money("_rev"))
     return bigint_cols(top.select("country", "region", "unique_customers", "order_count", "total_revenue",
@@ -66,7 +66,7 @@ def top_markets(star: Star, k: int = 10) -> DataFrame:
 def segment_by_region(star: Star) -> DataFrame:
     """Segment share of each region's customers (a customer counts once per region it bought
     in). The fact is first reduced to (customer, location) grain."""
-    f = star.fact_sales.groupBy("customer_key", "location_key").agg(F.sum("revenue").alias("revenue"))
+    f = orders(star).groupBy("customer_key", "location_key").agg(F.sum("revenue").alias("revenue"))
     f = with_customer(with_location(f, star.dim_location, "region"), star.dim_customer, "segment")
     g = f.groupBy("region", "segment").agg(F.count_distinct("customer_key").alias("customer_count"),
                                            money_sum("revenue").alias("total_revenue"))
@@ -78,7 +78,7 @@ def segment_by_region(star: Star) -> DataFrame:
 
 def region_trend(star: Star) -> DataFrame:
     """Monthly revenue per region with the change from the previous month present."""
-    f = with_date(with_location(star.fact_sales, star.dim_location, "region"), star.dim_date,
+    f = with_date(with_location(orders(star), star.dim_location, "region"), star.dim_date,
                   "year", "month", "month_name")
     g = f.groupBy("year", "month", "month_name", "region").agg(
         F.sum("revenue").alias("_rev"), n_orders().alias("order_count"))
@@ -91,9 +91,9 @@ def region_trend(star: Star) -> DataFrame:
 
 def aov_by_country(star: Star, min_orders: int = 10, k: int = 15) -> DataFrame:
     """Line-weighted mean order value per country with at least ``min_orders`` orders."""
-    f = with_location(star.fact_sales, star.dim_location, "region", "country")
+    f = with_location(orders(star), star.dim_location, "region", "country")
     g = f.groupBy("country", "region").agg(
-        n_orders().alias("order_count"), avg_of("order_value", None).alias("_aov"),
+        n_orders().alias("order_count"), order_value_avg(None).alias("_aov"),
         money_sum("revenue").alias("total_revenue"))
     g = g.where(F.col("order_count") >= min_orders)
     top = ranked_top(g, [("_aov", False), ("country", True)], k, "_aov", "aov_rank")

@@ -10,20 +10,20 @@ from tillsight.functions.numeric import growth_pct, pct, round_to
 from tillsight.operators.ranking import top_k
 from tillsight.operators.star import Star
 from tillsight.oracle import sql as O
-from tillsight.plans.common import (avg_of, bigint_cols, money_sum, n_customers, n_orders,
-                                    with_date)
+from tillsight.plans.common import (bigint_cols, money_sum, n_customers, n_orders, order_value_avg,
+                                    orders, with_date)
 
 _UNB = Window.unboundedPreceding
 
 
 def monthly(star: Star) -> DataFrame:
     """Per (year, month): orders, customers, revenue (exact, rounded), profit, line-weighted AOV."""
-    f = with_date(star.fact_sales, star.dim_date, "year", "month", "month_name")
+    f = with_date(orders(star), star.dim_date, "year", "month", "month_name")
     return f.groupBy("year", "month", "month_name").agg(
         n_orders().alias("order_count"), n_customers().alias("unique_customers"),
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         money_sum("profit").alias("total_profit"),
-        avg_of("order_value").alias("avg_order_value"))
+        order_value_avg().alias("avg_order_value"))
 
 
 def monthly_growth(star: Star) -> DataFrame:
@@ -44,12 +44,12 @@ def monthly_growth(star: Star) -> DataFrame:
 
 
 def annual(star: Star) -> DataFrame:
-    f = with_date(star.fact_sales, star.dim_date, "year")
+    f = with_date(orders(star), star.dim_date, "year")
     return f.groupBy("year").agg(
         n_orders().alias("total_orders"), n_customers().alias("total_customers"),
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         F.round(F.sum("profit"), 2).alias("total_profit"),
-        avg_of("order_value").alias("avg_order_value"),
+        order_value_avg().alias("avg_order_value"),
         round_to(F.sum("revenue").cast("double") / F.count_distinct("customer_key"), 2).alias("revenue_per_customer"))
 
 
@@ -67,11 +67,11 @@ def annual_summary(star: Star) -> DataFrame:
 
 def quarterly(star: Star) -> DataFrame:
     """S3: quarters with their share of the year's revenue."""
-    f = with_date(star.fact_sales, star.dim_date, "year", "quarter")
+    f = with_date(orders(star), star.dim_date, "year", "quarter")
     q = f.groupBy("year", "quarter").agg(
         n_orders().alias("order_count"), n_customers().alias("unique_customers"),
         F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
-        avg_of("order_value").alias("avg_order_value"))
+        order_value_avg().alias("avg_order_value"))
     q = q.withColumn("pct_of_annual_revenue", pct("_rev", F.sum("_rev").over(Window.partitionBy("year"))))
     q = q.withColumn("total_revenue", F.round("_rev", 2))
     return bigint_cols(q.select("year", "quarter", "order_count", "unique_customers", "total_revenue",
@@ -81,10 +81,10 @@ def quarterly(star: Star) -> DataFrame:
 
 def by_weekday(star: Star) -> DataFrame:
     """Revenue by day of week, ranked."""
-    f = with_date(star.fact_sales, star.dim_date, "day_of_week")
+    f = with_date(orders(star), star.dim_date, "day_of_week")
     d = f.groupBy("day_of_week").agg(
         n_orders().alias("order_count"), F.sum("revenue").alias("_rev"),
-        avg_of("order_value").alias("avg_order_value"))
+        order_value_avg().alias("avg_order_value"))
     d = d.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.col("_rev").desc())))
     d = d.withColumn("total_revenue", F.round("_rev", 2))
     return bigint_cols(d.select("day_of_week", "order_count", "total_revenue", "avg_order_value",
@@ -93,10 +93,10 @@ def by_weekday(star: Star) -> DataFrame:
 
 def weekend_split(star: Star) -> DataFrame:
     """Weekday against weekend."""
-    f = with_date(star.fact_sales, star.dim_date, "is_weekend")
+    f = with_date(orders(star), star.dim_date, "is_weekend")
     d = f.groupBy("is_weekend").agg(
         n_orders().alias("order_count"), n_customers().alias("unique_customers"),
-        F.sum("revenue").alias("_rev"), avg_of("order_value").alias("avg_order_value"))
+        F.sum("revenue").alias("_rev"), order_value_avg().alias("avg_order_value"))
     d = d.withColumn("revenue_pct", pct("_rev", F.sum("_rev").over(Window.partitionBy())))
     d = d.withColumn("day_type", F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday"))
     d = d.withColumn("total_revenue", F.round("_rev", 2))
@@ -106,7 +106,7 @@ def weekend_split(star: Star) -> DataFrame:
 
 def top_days(star: Star, k: int = 10) -> DataFrame:
     """The k best days (ties broken by date)."""
-    f = with_date(star.fact_sales, star.dim_date, "full_date", "day_of_week", "month_name", "year")
+    f = with_date(orders(star), star.dim_date, "full_date", "day_of_week", "month_name", "year")
     d = f.groupBy("full_date", "day_of_week", "month_name", "year").agg(
         n_orders().alias("order_count"), n_customers().alias("unique_customers"),
         F.round(F.sum("revenue"), 2).alias("total_revenue"))
@@ -115,7 +115,7 @@ def top_days(star: Star, k: int = 10) -> DataFrame:
 
 def rolling_3m(star: Star) -> DataFrame:
     """Three-row moving average of monthly revenue (the previous rows present)."""
-    f = with_date(star.fact_sales, star.dim_date, "year", "month")
+    f = with_date(orders(star), star.dim_date, "year", "month")
     m = f.groupBy("year", "month").agg(F.round(F.sum("revenue"), 2).alias("total_revenue"))
     w = Window.orderBy("year", "month").rowsBetween(-2, 0)
     m = m.withColumn("rolling_3m_avg_revenue",
