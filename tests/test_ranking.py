@@ -83,3 +83,27 @@ def test_top_rank_includes_ties(spark):
     got = top_rank(df, "v", 20, "rk")
     exp = df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").desc()))).where("rk <= 20")
     assert sorted(map(tuple, got.select("id", "rk").collect())) == sorted(map(tuple, exp.select("id", "rk").collect()))
+
+
+def test_histogram_quantiles_equal_ranked(spark):
+    from tillsight.operators.ranking import exact_quantiles_by_histogram
+
+    rnd = random.Random(7)
+    df = spark.createDataFrame([(i, rnd.randint(0, 60)) for i in range(501)], "id long, v long")
+    fr = [(i, 5) for i in range(6)] + [(3, 4)]
+    a = exact_quantiles_by_histogram(df, "v", fr, "id")
+    b = exact_quantiles(df, "v", fr, "id", num_partitions=4)
+    c = exact_quantiles_by_histogram(df, "v", fr, "id", max_distinct=5)   # falls back
+    assert a == b == c
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_global_fast_path_matches_window(spark, parts):
+    df = _frame(spark, 2500, 30, 1, 9)
+    got = sequence(df, [("v", True), ("id", True)], running={"cum": "x"}, num_partitions=parts, with_total="n")
+    w = Window.orderBy("v", "id")
+    exp = df.select("id", F.row_number().over(w).alias("rn2"),
+                    F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum2"))
+    j = got.join(exp, "id")
+    assert j.where((F.col("rn") != F.col("rn2")) | (F.col("cum") != F.col("cum2"))).count() == 0
+    assert got.select("n").distinct().collect()[0][0] == 2500

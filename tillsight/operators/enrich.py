@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
-from tillsight.operators.ranking import exact_quantiles, qcut_rank_bin, sequence
+from tillsight.operators.ranking import exact_quantiles_by_histogram, qcut_rank_bin, sequence
 
 MARGIN = 0.4            # fixed value: assumed profit margin
 SNAPSHOT = "2012-01-01"  # reference default; a parameter everywhere
@@ -64,7 +64,8 @@ def rfm(df: DataFrame, snapshot=SNAPSHOT) -> DataFrame:
 
 def recency_edges(rfm_df: DataFrame, k: int = 5, on_duplicate_edges: str = "raise") -> list[float]:
     """Quantile edges of recency (pandas ``qcut`` edges: exact, linearly interpolated)."""
-    edges = exact_quantiles(rfm_df, "recency_days", [(i, k) for i in range(k + 1)], "customer_id")
+    # Recency is whole days, so its distinct values are bounded by the calendar span.
+    edges = exact_quantiles_by_histogram(rfm_df, "recency_days", [(i, k) for i in range(k + 1)], "customer_id")
     if any(e is None for e in edges):
         return edges
     if len(set(edges)) < len(edges):

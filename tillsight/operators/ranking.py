@@ -78,6 +78,9 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
         local = local.withColumn(f"_lrs_{out}", F.sum(src).over(frame))
     local = local.checkpoint(eager=True)
 
+    if not by and not rank_on:
+        return _global_offsets(local, running, row_number, with_total)
+
     g = _struct(by)
     ties = _struct(rank_on) if rank_on else None
     bounds = local.groupBy("_pid").agg(F.min(g).alias("_fg"), F.max(g).alias("_lg"),
@@ -129,6 +132,27 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     return out.drop(*[c for c in drop if c in out.columns])
 
 
+def _global_offsets(local: DataFrame, running: Mapping[str, str], row_number: str | None,
+                    with_total: str | None) -> DataFrame:
+    """Global form without RANK: a row's number is its local number plus the row count of all
+    earlier partitions (running sums likewise); the offsets are prefix sums over a summary of
+    one row per partition."""
+    aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(src).alias(f"_psum_{o}") for o, src in running.items()]
+    summary = local.groupBy("_pid").agg(*aggs)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.col("_pid"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
+    cols += [F.sum(f"_psum_{o}").over(before).alias(f"_soff_{o}") for o in running]
+    if with_total:
+        cols.append(F.sum("_cnt").over(Window.partitionBy()).cast("long").alias(with_total))
+    out = local.join(F.broadcast(summary.select(*cols)), ["_pid"])
+    if row_number:
+        out = out.withColumn(row_number, (F.col("_lrn") + F.col("_off")).cast("long"))
+    for o in running:
+        local_t = dict(local.dtypes)[f"_lrs_{o}"]
+        out = out.withColumn(o, (F.col(f"_lrs_{o}") + F.coalesce(F.col(f"_soff_{o}"), F.lit(0))).cast(local_t))
+    return out.drop("_pid", "_lrn", "_off", *[f"_lrs_{o}" for o in running], *[f"_soff_{o}" for o in running])
+
+
 def ntile_of(rn: Column | str, total: Column | str, k: int) -> Column:
     """NTILE(k) from a 1-based row number and the row count: the first ``N mod k`` tiles hold one
     row more. Integer arithmetic only; the second branch is never reached when N < k."""
@@ -181,6 +205,40 @@ def exact_quantiles(df: DataFrame, col: str, fractions: Sequence[tuple[int, int]
     return out
 
 
+def exact_quantiles_by_histogram(df: DataFrame, col: str, fractions: Sequence[tuple[int, int]],
+                                 tiebreak: str, max_distinct: int = 100_000) -> list[float | None]:
+    """``exact_quantiles`` for a column with few distinct values (such as whole days since a
+    purchase, bounded by the calendar span): one aggregation to (value, count), fetched only if
+    it has at most ``max_distinct`` rows, else the ranked path. Same positions, same result."""
+    hist = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    rows = hist.limit(max_distinct + 1).collect()
+    if len(rows) > max_distinct:
+        return exact_quantiles(df, col, fractions, tiebreak)
+    rows.sort(key=lambda r: r[col])
+    n = sum(int(r["_c"]) for r in rows)
+    if n == 0:
+        return [None] * len(fractions)
+
+    def at(rank: int):             # 1-based rank → value
+        seen = 0
+        for r in rows:
+            seen += int(r["_c"])
+            if rank <= seen:
+                return float(r[col])
+        return float(rows[-1][col])
+
+    out = []
+    for num, den in fractions:
+        lo, rem = divmod(num * (n - 1), den)
+        a = at(lo + 1)
+        if rem:
+            b = at(min(lo + 2, n))
+            out.append(a + (b - a) * rem / den)
+        else:
+            out.append(a)
+    return out
+
+
 def top_k(df: DataFrame, order: Order, k: int) -> DataFrame:
     """ORDER BY ... LIMIT k as a distributed top-k (each partition keeps k, then one merge)."""
     return df.orderBy(*_sort_exprs(order)).limit(k)

@@ -136,7 +136,10 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     lines = enriched_lines(raw, cfg)
     if persist:
         lines = materialize(lines, "lines")
-    scored = rfm_scores(rfm(lines, cfg.snapshot), on_duplicate_edges=cfg.on_duplicate_edges)
+    metrics = rfm(lines, cfg.snapshot)
+    if persist:
+        metrics = materialize(metrics, "rfm")      # read by the recency histogram and the ranking
+    scored = rfm_scores(metrics, on_duplicate_edges=cfg.on_duplicate_edges)
     dc = dim_customer(scored, cfg.key_mode)
     dp = dim_product(lines, cfg.category_rules, cfg.key_mode)
     dl = dim_location(lines, cfg.region_rules, cfg.region_table, cfg.key_mode)

@@ -17,7 +17,7 @@ from tillsight.sources import testdata
 from tillsight.sources.sinks import cluster_fact, load_star, save_star
 from tillsight.functions.classify import TESTDATA_CATEGORY_RULES
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple, dict] = {}
 
 
@@ -31,8 +31,20 @@ def testdata_config(spark: SparkSession, sf_dir: str, **overrides) -> StarConfig
     return cfg
 
 
+_RAW: dict[tuple, str] = {}
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.raw_lines(spark, sf_dir)
+    """The combined raw lines (X1), written once to the shared folder (X3) and read back with
+    the fixed schema (X4), as the reference's extract step hands its output to the transform."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        path = _RAW.get(key)
+        if path is None:
+            path = scratch_path(spark, "raw")
+            testdata.raw_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _RAW[key] = path
+    return spark.read.parquet(path)
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple:
@@ -63,3 +75,4 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 def clear() -> None:
     with _LOCK:
         _CACHE.clear()
+        _RAW.clear()
