@@ -253,10 +253,8 @@ def top_rank(df: DataFrame, value: str, k: int, rank_col: str = "rank", ascendin
     back, so a tie group of any size at the boundary never lands in one task.
     """
     kth = top_k(df.select(value).where(F.col(value).isNotNull()), [(value, ascending)], k) \
-        .agg((F.max if ascending else F.min)(value).alias("_kth")).first()[0]
-    if kth is None:
-        return df.limit(0).withColumn(rank_col, F.lit(None).cast("long"))
-    cand = df.where((F.col(value) <= F.lit(kth)) if ascending else (F.col(value) >= F.lit(kth)))
+        .agg((F.max if ascending else F.min)(value).alias("_kth")).scalar()    # one-row subquery
+    cand = df.where((F.col(value) <= kth) if ascending else (F.col(value) >= kth))
     counts = cand.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.orderBy(F.col(value).asc() if ascending else F.col(value).desc())
     ranks = counts.withColumn(rank_col, (F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1))))
