@@ -12,10 +12,21 @@ from tillsight.schemas import RAW_COLUMNS, RAW_TRANSACTIONS
 
 def read_part(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
     """Read one part with the fixed raw schema (X4: ids as strings, timestamp parsed)."""
-    reader = spark.read.schema(RAW_TRANSACTIONS).options(**(options or {}))
+    reader = spark.read.schema(RAW_TRANSACTIONS)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-    return reader.format(fmt).load(path).select(*RAW_COLUMNS)
+        # Spark's default timestamp parsing takes both "2010-12-01 08:26:00" and ISO "…T…" text;
+        # pass "timestampNTZFormat" in ``options`` for anything else. FAILFAST: a value that does
+        # not parse is an error, not a silent null.
+        reader = reader.option("header", "true").option("mode", "FAILFAST")
+    reader = reader.options(**(options or {}))
+    df = reader.format(fmt).load(path).select(*RAW_COLUMNS)
+    return df.withColumn("customer_id", canonical_id("customer_id"))
+
+
+def canonical_id(c: str):
+    """A customer id exported through a float column reads ``13085.0``; the canonical id is
+    the integer text."""
+    return F.regexp_replace(F.col(c), r"^(\d+)\.0+$", "$1")
 
 
 def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
