@@ -107,3 +107,18 @@ def test_global_fast_path_matches_window(spark, parts):
     j = got.join(exp, "id")
     assert j.where((F.col("rn") != F.col("rn2")) | (F.col("cum") != F.col("cum2"))).count() == 0
     assert got.select("n").distinct().collect()[0][0] == 2500
+
+
+def test_grouped_sequence_with_null_groups(spark):
+    df = _frame(spark, 3000, 40, 4, 11)
+    df = df.withColumn("g", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("g")))
+    got = sequence(df, [("v", False), ("id", True)], by=["g"], rank="rk", rank_on=["v"],
+                   running={"cum": "x"}, num_partitions=7)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), "id")
+    exp = df.select("id", F.row_number().over(w).alias("rn2"),
+                    F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).alias("rk2"),
+                    F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum2"))
+    j = got.join(exp, "id")
+    assert j.count() == 3000
+    assert j.where((F.col("rn") != F.col("rn2")) | (F.col("rk") != F.col("rk2"))
+                   | (F.col("cum") != F.col("cum2"))).count() == 0

@@ -68,11 +68,13 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     sort = _sort_exprs(order)
     ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in by], *sort)
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid", *by).orderBy(*sort)
-    local = ranged.withColumn("_lrn", F.row_number().over(w))
+    part = Window.partitionBy("_pid", *by)
+    w = part.orderBy(*sort)
+    # Same partitioning for every window here, so one exchange and one sort serve them all.
+    local = (ranged.withColumn("_lrn", F.row_number().over(w))
+                   .withColumn("_lcnt", F.count(F.lit(1)).over(part)))
     if rank_on:
-        wr = Window.partitionBy("_pid", *by).orderBy(*_sort_exprs(order[:len(rank_on)]))
-        local = local.withColumn("_lrk", F.rank().over(wr))
+        local = local.withColumn("_lrk", F.rank().over(part.orderBy(*_sort_exprs(order[:len(rank_on)]))))
     frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for out, src in running.items():
         local = local.withColumn(f"_lrs_{out}", F.sum(src).over(frame))
@@ -81,27 +83,27 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     if not by and not rank_on:
         return _global_offsets(local, running, row_number, with_total)
 
-    g = _struct(by)
+    # Group key in range order (nulls last): a struct of (is null, value) per column.
+    g = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in by]) if by else F.lit(0)
     ties = _struct(rank_on) if rank_on else None
-    bounds = local.groupBy("_pid").agg(F.min(g).alias("_fg"), F.max(g).alias("_lg"),
-                                       F.count(F.lit(1)).alias("_cnt"))
+    starts = local.where(F.col("_lrn") == 1)             # first row of each (partition, group)
+    ends = local.where(F.col("_lrn") == F.col("_lcnt"))  # last row of each (partition, group)
+    bounds = starts.groupBy("_pid").agg(F.min(g).alias("_fg"), F.max(g).alias("_lg"),
+                                        F.sum("_lcnt").alias("_cnt"))
 
-    # Last row of each partition's last group: its local row number is that group's count there.
-    last_fields = [F.col("_lrn").alias("cnt_last")]
+    # The last group of each partition: its local count, its last tie group, its running sums.
+    last_fields = [F.col("_pid").alias("_q"), F.col("_lg"), F.col("_lcnt").alias("cnt_last")]
     if rank_on:
         last_fields += [(F.col("_lrn") - F.col("_lrk") + 1).alias("tie_cnt_last"), ties.alias("tie_last")]
     last_fields += [F.col(f"_lrs_{o}").alias(f"sum_last_{o}") for o in running]
-    last = (local.join(F.broadcast(bounds.select("_pid", "_lg")), ["_pid"])
-                 .where(g.eqNullSafe(F.col("_lg")))
-                 .groupBy("_pid", "_lg")
-                 .agg(F.max_by(F.struct(*last_fields), F.col("_lrn")).alias("_l"))
-                 .select(F.col("_pid").alias("_q"), F.col("_lg"), "_l.*"))
+    last = (ends.join(F.broadcast(bounds.select("_pid", "_lg")), ["_pid"])
+                .where(g.eqNullSafe(F.col("_lg"))).select(*last_fields))
 
     firsts = bounds.select("_pid", "_fg", "_cnt")
     if rank_on:
-        first_tie = (local.join(F.broadcast(bounds.select("_pid", "_fg")), ["_pid"])
-                          .where(g.eqNullSafe(F.col("_fg")) & (F.col("_lrn") == 1))
-                          .select("_pid", ties.alias("_tie_first")))
+        first_tie = (starts.join(F.broadcast(bounds.select("_pid", "_fg")), ["_pid"])
+                           .where(g.eqNullSafe(F.col("_fg")))
+                           .select("_pid", ties.alias("_tie_first")))
         firsts = firsts.join(first_tie, ["_pid"], "left")
 
     aggs = [F.sum("cnt_last").alias("_off")]
@@ -127,7 +129,7 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
         local_t = dict(local.dtypes)[f"_lrs_{o}"]
         soff = F.when(is_first, F.col(f"_soff_{o}"))
         out = out.withColumn(o, (F.col(f"_lrs_{o}") + F.coalesce(soff, F.lit(0))).cast(local_t))
-    drop = ["_pid", "_lrn", "_lrk", "_fg", "_cnt", "_off", "_eq", "_tie_first"] + \
+    drop = ["_pid", "_lrn", "_lcnt", "_lrk", "_fg", "_cnt", "_off", "_eq", "_tie_first"] + \
            [f"_lrs_{o}" for o in running] + [f"_soff_{o}" for o in running]
     return out.drop(*[c for c in drop if c in out.columns])
 
@@ -137,8 +139,9 @@ def _global_offsets(local: DataFrame, running: Mapping[str, str], row_number: st
     """Global form without RANK: a row's number is its local number plus the row count of all
     earlier partitions (running sums likewise); the offsets are prefix sums over a summary of
     one row per partition."""
-    aggs = [F.count(F.lit(1)).alias("_cnt")] + [F.sum(src).alias(f"_psum_{o}") for o, src in running.items()]
-    summary = local.groupBy("_pid").agg(*aggs)
+    # With no groups each partition is one group: its last row carries the partition's count and sums.
+    summary = local.where(F.col("_lrn") == F.col("_lcnt")).select(
+        "_pid", F.col("_lcnt").alias("_cnt"), *[F.col(f"_lrs_{o}").alias(f"_psum_{o}") for o in running])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.col("_pid"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
     cols += [F.sum(f"_psum_{o}").over(before).alias(f"_soff_{o}") for o in running]
@@ -150,7 +153,8 @@ def _global_offsets(local: DataFrame, running: Mapping[str, str], row_number: st
     for o in running:
         local_t = dict(local.dtypes)[f"_lrs_{o}"]
         out = out.withColumn(o, (F.col(f"_lrs_{o}") + F.coalesce(F.col(f"_soff_{o}"), F.lit(0))).cast(local_t))
-    return out.drop("_pid", "_lrn", "_off", *[f"_lrs_{o}" for o in running], *[f"_soff_{o}" for o in running])
+    return out.drop("_pid", "_lrn", "_lcnt", "_off", *[f"_lrs_{o}" for o in running],
+                    *[f"_soff_{o}" for o in running])
 
 
 def ntile_of(rn: Column | str, total: Column | str, k: int) -> Column:
