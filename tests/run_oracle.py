@@ -1,5 +1,5 @@
 """Run every registered query against its DuckDB oracle (like the driver's correctness gate).
-Usage: python tests/run_oracle.py [sf_dir] [key ...]"""
+Usage: python tests/run_oracle.py [spark.conf=value ...] [sf_dir] [key ...]"""
 import json
 import os
 import sys
@@ -13,9 +13,20 @@ from tillsight.session import get_session  # noqa: E402
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:]
-    spark = get_session()
+    args = sys.argv[1:]
+    confs = [a.split("=", 1) for a in args if "=" in a and a.startswith("spark.")]
+    args = [a for a in args if not (a.startswith("spark.") and "=" in a)]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:]
+    if confs:      # a session configured unlike ours, e.g. the driver's defaults
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+        for k, v in confs:
+            b = b.config(k, v)
+        spark = b.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session()
     qs, orc = E.queries(), E.oracle_sql()
     con = duckdb_connection(sf)
     bad = 0
