@@ -12,14 +12,17 @@ from tillsight.operators.ranking import top_k
 
 
 def profile(df: DataFrame, ts: str = "invoice_ts", customer: str = "customer_id",
-            product: str = "stock_code") -> DataFrame:
+            product: str = "stock_code", approx: bool = False) -> DataFrame:
     """Row and column count, date range, distinct customers and products, nulls per column,
-    as (metric, column_name, value) rows. One aggregation pass over the source."""
+    as (metric, column_name, value) rows. One aggregation pass over the source. ``approx=True``
+    counts distincts with HyperLogLog (``approx_count_distinct``), which needs no shuffle of the
+    distinct values, for sources too large for exact distinct counts."""
+    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
     aggs = [F.count(F.lit(1)).cast("string").alias("row_count|*"),
             F.lit(str(len(df.columns))).alias("column_count|*"),
             F.min(ts).cast("string").alias(f"min|{ts}"), F.max(ts).cast("string").alias(f"max|{ts}"),
-            F.count_distinct(customer).cast("string").alias(f"distinct|{customer}"),
-            F.count_distinct(product).cast("string").alias(f"distinct|{product}")]
+            distinct(customer).cast("string").alias(f"distinct|{customer}"),
+            distinct(product).cast("string").alias(f"distinct|{product}")]
     aggs += [(F.count(F.lit(1)) - F.count(c)).cast("string").alias(f"nulls|{c}") for c in df.columns]
     row = df.agg(*aggs)
     names = row.columns

@@ -140,6 +140,8 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     if persist:
         metrics = materialize(metrics, "rfm")      # read by the recency histogram and the ranking
     scored = rfm_scores(metrics, on_duplicate_edges=cfg.on_duplicate_edges)
+    if persist:
+        scored = materialize(scored, "scored")     # feeds the customer dimension and T4–T7 queries
     dc = dim_customer(scored, cfg.key_mode)
     dp = dim_product(lines, cfg.category_rules, cfg.key_mode)
     dl = dim_location(lines, cfg.region_rules, cfg.region_table, cfg.key_mode)

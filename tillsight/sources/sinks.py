@@ -21,8 +21,11 @@ def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFram
 
 
 def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
-              partition_fact_by_month: bool = False, cluster: bool = True) -> dict[str, str]:
-    """X5 + X6: write the five tables, dimensions first, each a full replace (re-runnable)."""
+              partition_fact_by_month: bool = False, cluster: bool = True,
+              max_records_per_file: int = 20_000_000) -> dict[str, str]:
+    """X5 + X6: write the five tables, dimensions first, each a full replace (re-runnable).
+    Files are capped at ``max_records_per_file`` rows, so a range partition of a very large fact
+    becomes several files of bounded size rather than one huge one."""
     out = {}
     for name in LOAD_ORDER:
         df = tables[name]
@@ -35,7 +38,7 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
             if partition_fact_by_month:
                 w_df = w_df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
                 part = ["year_month"]
-        writer = w_df.write.mode("overwrite").format(fmt)
+        writer = w_df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", max_records_per_file)
         if part:
             writer = writer.partitionBy(*part)
         if fmt == "csv":

@@ -62,13 +62,11 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             save_star(built.tables(), path)
             orders = order_grain(spark.read.parquet(f"{path}/fact_sales"))
             cluster_fact(orders).write.mode("overwrite").parquet(f"{path}/fact_orders")
-            extras_path = scratch_path(spark, "scored")
-            built.extras["scored"].write.mode("overwrite").parquet(extras_path)
-            entry = {"path": path, "lines": built.extras["lines"], "scored_path": extras_path}
+            entry = {"path": path, "lines": built.extras["lines"], "scored": built.extras["scored"]}
             _CACHE[key] = entry
     t = load_star(spark, entry["path"])
     return Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
-                extras={"lines": entry["lines"], "scored": spark.read.parquet(entry["scored_path"])},
+                extras={"lines": entry["lines"], "scored": entry["scored"]},
                 fact_orders=spark.read.parquet(f"{entry['path']}/fact_orders"))
 
 
