@@ -34,8 +34,7 @@ def round_money(x: Column | str, n: int = 2) -> Column:
 
 def ratio(num: Column | str, den: Column | str, n: int | None = None, scale: float = 1.0) -> Column:
     """``scale * num / den`` in double; null when ``den`` is 0 or null (NULLIF guard)."""
-    d = _c(den).cast("double")
-    val = F.lit(scale) * _c(num).cast("double") / F.when(d != 0, d)
+    val = F.try_divide(F.lit(scale) * _c(num).cast("double"), _c(den).cast("double"))
     return round_to(val, n) if n is not None else val
 
 
