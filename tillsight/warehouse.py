@@ -18,7 +18,7 @@ from tillsight.sources.sinks import cluster_fact, load_star, save_star
 from tillsight.functions.classify import TESTDATA_CATEGORY_RULES
 
 _LOCK = threading.RLock()
-_CACHE: dict[tuple, dict] = {}
+_CACHE: dict[tuple, Star] = {}
 
 
 def testdata_config(spark: SparkSession, sf_dir: str, **overrides) -> StarConfig:
@@ -62,12 +62,14 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             save_star(built.tables(), path)
             orders = order_grain(spark.read.parquet(f"{path}/fact_sales"))
             cluster_fact(orders).write.mode("overwrite").parquet(f"{path}/fact_orders")
-            entry = {"path": path, "lines": built.extras["lines"], "scored": built.extras["scored"]}
+            # DataFrames are immutable plans: read the tables once and hand the same frames to
+            # every mart (file listing and footers are read once per session, not per query).
+            t = load_star(spark, path)
+            entry = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
+                         extras={"lines": built.extras["lines"], "scored": built.extras["scored"], "path": path},
+                         fact_orders=spark.read.parquet(f"{path}/fact_orders"))
             _CACHE[key] = entry
-    t = load_star(spark, entry["path"])
-    return Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
-                extras={"lines": entry["lines"], "scored": entry["scored"]},
-                fact_orders=spark.read.parquet(f"{entry['path']}/fact_orders"))
+    return entry
 
 
 def clear() -> None:
