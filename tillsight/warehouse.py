@@ -31,7 +31,7 @@ def testdata_config(spark: SparkSession, sf_dir: str, **overrides) -> StarConfig
     return cfg
 
 
-_RAW: dict[tuple, str] = {}
+_RAW: dict[tuple, DataFrame] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +39,12 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     the fixed schema (X4), as the reference's extract step hands its output to the transform."""
     key = _key(spark, sf_dir)
     with _LOCK:
-        path = _RAW.get(key)
-        if path is None:
+        df = _RAW.get(key)
+        if df is None:
             path = scratch_path(spark, "raw")
             testdata.raw_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
-            _RAW[key] = path
-    return spark.read.parquet(path)
+            df = _RAW[key] = spark.read.parquet(path)
+    return df
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple:
