@@ -83,10 +83,9 @@ def dim_product(lines: DataFrame, rules=REFERENCE_CATEGORY_RULES, key_mode: str
 
 
 def dim_date(lines: DataFrame) -> DataFrame:
-    """One row per calendar date (bounded by the date span), sorted by key."""
-    cols = [c for c in DIM_DATE_COLUMNS if c != "date_key"]
-    return (lines.groupBy("date_key").agg(*[F.first(c).alias(c) for c in cols])
-                 .select(*DIM_DATE_COLUMNS).orderBy("date_key"))
+    """One row per calendar date (bounded by the date span), sorted by key. Every column is
+    a function of the date, so a DISTINCT over them (a hash aggregate) gives one row per date."""
+    return lines.select(*DIM_DATE_COLUMNS).distinct().orderBy("date_key")
 
 
 def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFrame | None = None,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.operators.star import Star, StarConfig, build_star, order_grain
 from tillsight.session import scratch_path
 from tillsight.sources import testdata
-from tillsight.sources.sinks import cluster_fact, load_star, save_star
+from tillsight.sources.sinks import load_star, save_star
 from tillsight.functions.classify import TESTDATA_CATEGORY_RULES
 
 _LOCK = threading.RLock()
@@ -60,8 +60,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             built = build_star(raw(spark, sf_dir), testdata_config(spark, sf_dir))
             path = scratch_path(spark, "star")
             save_star(built.tables(), path)
-            orders = order_grain(spark.read.parquet(f"{path}/fact_sales"))
-            cluster_fact(orders).write.mode("overwrite").parquet(f"{path}/fact_orders")
+            # Marts read the order grain whole, so it is written as aggregated (no range clustering).
+            order_grain(spark.read.parquet(f"{path}/fact_sales")).write.mode("overwrite").parquet(f"{path}/fact_orders")
             # DataFrames are immutable plans: read the tables once and hand the same frames to
             # every mart (file listing and footers are read once per session, not per query).
             t = load_star(spark, path)
