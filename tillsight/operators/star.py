@@ -20,8 +20,7 @@ from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFE
 from tillsight.operators.clean import DEFAULT_ORDER, clean
 from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
 from tillsight.operators.keys import APPEARANCE, first_seen, surrogate_key
-from tillsight.schemas import (DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS,
-                               DIM_PRODUCT_COLUMNS, FACT_SALES_COLUMNS)
+from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
 
 
