@@ -137,3 +137,19 @@ def test_rfm_scores_match_pandas_qcut(spark):
     assert list(got["r_score"]) == list(r["R"])
     assert list(got["f_score"]) == list(r["F"])
     assert list(got["m_score"]) == list(r["M"])
+
+
+def test_strip_and_title_match_python_on_random_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("abcXYZ \u00e9\u00fc\u00e7\u00c9'-_.,&/0123456789") + ["\t", "\u00a0", "\u3000", "\n"])
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.text(alphabet, max_size=24), min_size=50, max_size=120))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+        got = [r.t for r in df.select("i", title_case(strip("v")).alias("t")).orderBy("i").collect()]
+        assert got == [v.strip().title() for v in values]
+
+    check()
