@@ -122,3 +122,19 @@ def test_grouped_sequence_with_null_groups(spark):
     assert j.count() == 3000
     assert j.where((F.col("rn") != F.col("rn2")) | (F.col("rk") != F.col("rk2"))
                    | (F.col("cum") != F.col("cum2"))).count() == 0
+
+
+@pytest.mark.parametrize("method", ["value", "first"])
+def test_quantile_bins_match_pandas_qcut(spark, method):
+    import pandas as pd
+
+    from tillsight.operators.ranking import quantile_bins
+
+    rnd = random.Random(5)
+    vals = [rnd.randint(0, 50) + rnd.random() for _ in range(333)] if method == "value" else \
+        [float(rnd.randint(0, 9)) for _ in range(333)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+    got = quantile_bins(df, "v", 4, "b", "id", method=method).orderBy("id").toPandas()["b"].tolist()
+    s = pd.Series(vals)
+    exp = pd.qcut(s if method == "value" else s.rank(method="first"), 4, labels=[1, 2, 3, 4]).astype(int).tolist()
+    assert got == exp

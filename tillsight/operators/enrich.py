@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
-from tillsight.operators.ranking import exact_quantiles_by_histogram, qcut_rank_bin, sequence
+from tillsight.operators.ranking import quantile_bins
 
 MARGIN = 0.4            # fixed value: assumed profit margin
 SNAPSHOT = "2012-01-01"  # reference default; a parameter everywhere
@@ -62,42 +62,16 @@ def rfm(df: DataFrame, snapshot=SNAPSHOT) -> DataFrame:
         F.col("_first.line_no").alias("first_line"))
 
 
-def recency_edges(rfm_df: DataFrame, k: int = 5, on_duplicate_edges: str = "raise") -> list[float]:
-    """Quantile edges of recency (pandas ``qcut`` edges: exact, linearly interpolated)."""
-    # Recency is whole days, so its distinct values are bounded by the calendar span.
-    edges = exact_quantiles_by_histogram(rfm_df, "recency_days", [(i, k) for i in range(k + 1)], "customer_id")
-    if any(e is None for e in edges):
-        return edges
-    if len(set(edges)) < len(edges):
-        if on_duplicate_edges == "raise":
-            raise ValueError(f"Bin edges must be unique: {edges}")
-        if on_duplicate_edges != "merge":
-            raise ValueError(f"unknown on_duplicate_edges={on_duplicate_edges!r}")
-    return edges
-
-
 def rfm_scores(rfm_df: DataFrame, k: int = 5, on_duplicate_edges: str = "raise") -> DataFrame:
     """T5–T7. R: quintile of recency by value, labels reversed (k = most recent). F and M:
     quintile bins of the first-come rank, ties broken by customer id ascending (the order the
     reference's group-by leaves rows in). Then rfm_score, segment and clv."""
-    edges = recency_edges(rfm_df, k, on_duplicate_edges)
-    r = F.col("recency_days")
-    if edges[0] is None:
-        r_score = F.lit(None).cast("int")
-    else:
-        inner = sorted(set(edges[1:-1])) if on_duplicate_edges == "merge" else edges[1:-1]
-        r_score = None
-        for i, e in enumerate(inner):
-            cond = r <= F.lit(float(e))
-            r_score = F.when(cond, k - i) if r_score is None else r_score.when(cond, k - i)
-        r_score = r_score.otherwise(k - len(inner)) if r_score is not None else F.lit(k)
-
-    f = sequence(rfm_df, [("frequency", True), ("customer_id", True)], row_number="_rn_f",
-                 with_total="_n")
-    f = f.withColumn("f_score", qcut_rank_bin("_rn_f", "_n", k)).drop("_rn_f", "_n")
-    m = sequence(f, [("monetary", True), ("customer_id", True)], row_number="_rn_m", with_total="_n")
-    m = m.withColumn("m_score", qcut_rank_bin("_rn_m", "_n", k)).drop("_rn_m", "_n")
-    out = m.withColumn("r_score", r_score.cast("int"))
+    # Recency is whole days, so its distinct values are bounded by the calendar span.
+    out = quantile_bins(rfm_df, "recency_days", k, "r_score", "customer_id", method="value",
+                        labels=list(range(k, 0, -1)), on_duplicate_edges=on_duplicate_edges, small_domain=True)
+    out = quantile_bins(out, "frequency", k, "f_score", "customer_id", method="first")
+    out = quantile_bins(out, "monetary", k, "m_score", "customer_id", method="first")
+    out = out.withColumns({c: F.col(c).cast("int") for c in ["r_score", "f_score", "m_score"]})
     out = out.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     out = out.withColumn("segment", segment("r_score", "f_score", "m_score"))
     return out.withColumn("clv", F.round(F.col("monetary"), 2).cast("decimal(28,2)"))

@@ -243,6 +243,47 @@ def exact_quantiles_by_histogram(df: DataFrame, col: str, fractions: Sequence[tu
     return out
 
 
+def quantile_bins(df: DataFrame, col: str, k: int, out: str, tiebreak: str, method: str = "value",
+                  labels: Sequence | None = None, on_duplicate_edges: str = "raise",
+                  small_domain: bool = False) -> DataFrame:
+    """W10, pandas ``qcut(x, k)``: equal-frequency bins with linearly interpolated, right-closed
+    edges (the lowest value included). ``method="value"`` bins the values themselves;
+    ``method="first"`` bins their first-come rank (``rank(method="first")``, ties broken by
+    ``tiebreak``). ``labels`` default to 1..k. Duplicate edges raise, as in pandas, unless
+    ``on_duplicate_edges="merge"``. ``small_domain`` takes the edges from a value histogram
+    (for whole-day counts and similar columns with few distinct values)."""
+    labels = list(labels) if labels is not None else list(range(1, k + 1))
+    if len(labels) != k:
+        raise ValueError("need one label per bin")
+    if method == "first":
+        ranked = sequence(df, [(col, True), (tiebreak, True)], row_number="_qb_rn", with_total="_qb_n")
+        b = qcut_rank_bin("_qb_rn", "_qb_n", k)
+        expr = None
+        for i, lab in enumerate(labels, start=1):
+            expr = F.when(b == i, F.lit(lab)) if expr is None else expr.when(b == i, F.lit(lab))
+        return ranked.withColumn(out, expr).drop("_qb_rn", "_qb_n")
+    if method != "value":
+        raise ValueError(f"unknown method {method!r}")
+    fractions = [(i, k) for i in range(k + 1)]
+    edges = (exact_quantiles_by_histogram(df, col, fractions, tiebreak) if small_domain
+             else exact_quantiles(df, col, fractions, tiebreak))
+    if edges[0] is None:
+        return df.withColumn(out, F.lit(None))
+    if len(set(edges)) < len(edges):
+        if on_duplicate_edges == "raise":
+            raise ValueError(f"Bin edges must be unique: {edges}")
+        if on_duplicate_edges != "merge":
+            raise ValueError(f"unknown on_duplicate_edges={on_duplicate_edges!r}")
+    inner = sorted(set(edges[1:-1])) if on_duplicate_edges == "merge" else edges[1:-1]
+    expr = None
+    for lab, e in zip(labels, inner):
+        cond = F.col(col) <= F.lit(float(e))
+        expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
+    last = F.lit(labels[len(inner)])
+    return df.withColumn(out, F.when(F.col(col).isNull(), F.lit(None)).otherwise(
+        expr.otherwise(last) if expr is not None else last))
+
+
 def top_k(df: DataFrame, order: Order, k: int) -> DataFrame:
     """ORDER BY ... LIMIT k as a distributed top-k (each partition keeps k, then one merge)."""
     return df.orderBy(*_sort_exprs(order)).limit(k)
