@@ -170,6 +170,12 @@ def ntile_of(rn: Column | str, total: Column | str, k: int) -> Column:
     return F.when(rn <= big, first).otherwise(second).cast("int")
 
 
+def ntile(df: DataFrame, order: Order, k: int, out: str) -> DataFrame:
+    """NTILE(k) OVER (ORDER BY order) without a single partition."""
+    s = sequence(df, order, row_number="_nt_rn", with_total="_nt_n")
+    return s.withColumn(out, ntile_of("_nt_rn", "_nt_n", k)).drop("_nt_rn", "_nt_n")
+
+
 def qcut_rank_bin(rn: Column | str, total: Column | str, k: int) -> Column:
     """pandas ``qcut(rank(method='first'), k)`` label 1..k: equal-frequency bins on ranks 1..N
     with right-closed, linearly interpolated edges: ``max(1, ceil((rn-1)*k/(N-1)))``."""
