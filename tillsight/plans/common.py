@@ -55,11 +55,6 @@ def money_sum(c: str = "revenue") -> Column:
     return round_money(F.sum(c))
 
 
-def raw_sum(c: str = "revenue") -> Column:
-    """SUM(c) without rounding (exact decimal sum, as double)."""
-    return F.sum(c).cast("double")
-
-
 def avg_of(c: str, n: int | None = 2) -> Column:
     """ROUND(AVG(c), n) as sum / count in double (nulls ignored)."""
     v = F.sum(c).cast("double") / F.count(c)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tillsight import warehouse
 from tillsight.operators.clean import clean, clean_accounting
-from tillsight.operators.enrich import enrich_money, with_date_parts
+from tillsight.operators.enrich import attach_rfm, enrich_money, with_date_parts
 from tillsight.operators.quality import key_integrity, profile, sanity_top5, table_counts
 from tillsight.oracle import sql as O
 from tillsight.plans.common import bigint_cols
@@ -83,9 +83,7 @@ def etl_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each cleaned line with its customer's RFM attributes (left join)."""
     st = warehouse.star(spark, sf_dir)
     lines = st.extras["lines"].select("invoice", "stock_code", "customer_id", "revenue")
-    cols = ["customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
-            "rfm_score", "segment", "clv"]
-    return bigint_cols(lines.join(st.extras["scored"].select(*cols), "customer_id", "left"))
+    return bigint_cols(attach_rfm(lines, st.extras["scored"]))
 
 
 def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
