@@ -64,3 +64,14 @@ def test_hash_keys_give_the_same_marts(spark):
         a = sorted(map(tuple, fn(hashed).collect()))
         b = sorted(map(tuple, fn(dense).collect()))
         assert a == b, fn.__name__
+
+
+def test_command_line_build_and_mart(spark, capsys):
+    from tillsight.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="tillsight-cli-")
+    main(["build", "--testdata", SF001, "--out", f"{d}/star"])
+    main(["mart", "rfm_segments", "--star", f"{d}/star", "--param", "snapshot=2001-08-02", "--out", f"{d}/rfm"])
+    got = sorted(map(tuple, spark.read.parquet(f"{d}/rfm").collect()))
+    exp = sorted(map(tuple, customer.rfm_segments(warehouse.star(spark, SF001), snapshot="2001-08-02").collect()))
+    assert got == exp
