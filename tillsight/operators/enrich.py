@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
+from tillsight.operators.joins import skew_safe_join
 from tillsight.operators.ranking import quantile_bins
 
 MARGIN = 0.4            # fixed value: assumed profit margin
@@ -24,13 +25,13 @@ def enrich_money(df: DataFrame, margin: float = MARGIN) -> DataFrame:
     2); order_value = the invoice's total of cleaned revenue (null for a null invoice).
 
     The invoice total is a partial aggregation joined back on the invoice; a hot invoice is split
-    by AQE's skew-join handling rather than sorted in one task as a window would be.
+    (``joins.skew_safe_join``) rather than sorted in one task as a window would be.
     """
     df = df.withColumn("revenue", money(F.col("quantity") * F.col("price")))
     df = df.withColumn("discount", F.lit(0.0))
     df = df.withColumn("profit", money(F.col("revenue") * F.lit(margin).cast("decimal(3,2)")))
     totals = df.groupBy("invoice").agg(F.sum("revenue").cast("decimal(18,2)").alias("order_value"))
-    return df.join(totals, "invoice", "left")
+    return skew_safe_join(df, totals, ["invoice"], how="left", checkpoint_big=True)
 
 
 def with_date_parts(df: DataFrame, ts: str = "invoice_ts") -> DataFrame:

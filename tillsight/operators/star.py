@@ -19,6 +19,7 @@ from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFE
                                           REFERENCE_REGION_RULES, classify, region_from_table, region_of)
 from tillsight.operators.clean import DEFAULT_ORDER, clean
 from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
+from tillsight.operators.joins import skew_safe_join
 from tillsight.operators.keys import APPEARANCE, first_seen, surrogate_key
 from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
@@ -107,11 +108,11 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
 def fact_sales(lines: DataFrame, dc: DataFrame, dp: DataFrame, dl: DataFrame) -> DataFrame:
     """Lines with the three dimension keys (date key is computed) and the measures."""
     # Null-safe keys: a null stock code survives cleaning and must find its own product row.
-    prod = dp.select(F.col("product_id").alias("_pid_nat"), "product_key")
     loc = F.broadcast(dl.select(F.col("country").alias("_loc_nat"), "location_key"))
-    f = (lines.join(dc.select("customer_id", "customer_key"), "customer_id", "left")
-              .join(prod, F.col("stock_code").eqNullSafe(F.col("_pid_nat")), "left")
-              .join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left"))
+    f = skew_safe_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"], how="left")
+    f = skew_safe_join(f, dp.select("product_id", "product_key"), ["stock_code"], ["product_id"],
+                       how="left", null_safe=True)
+    f = f.join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left")
     return f.select(F.col("invoice").alias("invoice_id"), "customer_key", "product_key", "date_key",
                     "location_key", "quantity", F.col("price").cast("decimal(18,2)").alias("unit_price"),
                     "revenue", "discount", "profit", "order_value")
