@@ -12,8 +12,10 @@ the same numbers in parallel:
    running sums. The result is checkpointed: range bounds come from sampling and must not be
    drawn twice.
 3. Only a group that starts in an earlier partition needs a correction, and each partition has at
-   most one such group (its first). A summary with one row per partition carries the offsets;
-   it is broadcast back. Its size is bounded by the number of partitions, not by the data.
+   most one such group (its first). The windows also record each group's size within the
+   partition, so the first and last rows of every (partition, group) are found with filters; a
+   summary with one row per partition, built from those rows alone, carries the offsets and is
+   broadcast back. Its size is bounded by the number of partitions, not by the data.
 
 Sums stay in DECIMAL, so a running sum does not depend on how the rows were split.
 """
