@@ -132,7 +132,10 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     """The whole ETL: raw lines → star. ``persist`` writes the enriched lines and the dimensions
     to the shared folder so each is computed once."""
     cfg = cfg or StarConfig()
-    lines = enriched_lines(raw, cfg)
+    cleaned = clean(raw, cfg.dedup_order)
+    if persist:
+        cleaned = materialize(cleaned, "cleaned")  # T1's output, also served by the etl_clean query
+    lines = with_date_parts(enrich_money(cleaned, cfg.margin))
     if persist:
         lines = materialize(lines, "lines")
     metrics = rfm(lines, cfg.snapshot)
@@ -148,4 +151,4 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
         dc, dp, dl = materialize(dc, "dim_customer"), materialize(dp, "dim_product"), materialize(dl, "dim_location")
     dd = dim_date(lines)
     fact = fact_sales(lines, dc, dp, dl)
-    return Star(dc, dp, dd, dl, fact, extras={"lines": lines, "scored": scored})
+    return Star(dc, dp, dd, dl, fact, extras={"cleaned": cleaned, "lines": lines, "scored": scored})

@@ -66,7 +66,8 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             # every mart (file listing and footers are read once per session, not per query).
             t = load_star(spark, path)
             entry = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
-                         extras={"lines": built.extras["lines"], "scored": built.extras["scored"], "path": path},
+                         extras={"cleaned": built.extras["cleaned"], "lines": built.extras["lines"],
+                                 "scored": built.extras["scored"], "path": path},
                          fact_orders=spark.read.parquet(f"{path}/fact_orders"))
             _CACHE[key] = entry
     return entry
