@@ -75,3 +75,16 @@ def test_command_line_build_and_mart(spark, capsys):
     got = sorted(map(tuple, spark.read.parquet(f"{d}/rfm").collect()))
     exp = sorted(map(tuple, customer.rfm_segments(warehouse.star(spark, SF001), snapshot="2001-08-02").collect()))
     assert got == exp
+
+
+def test_profile_approx_mode(spark):
+    from tillsight.operators.quality import profile
+    from tillsight.schemas import RAW_COLUMNS
+
+    raw = warehouse.raw(spark, SF001).select(*RAW_COLUMNS)
+    exact = {(r.metric, r.column_name): r.value for r in profile(raw).collect()}
+    approx = {(r.metric, r.column_name): r.value for r in profile(raw, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for key in [("distinct", "customer_id"), ("distinct", "stock_code")]:
+        assert abs(int(approx[key]) - int(exact[key])) <= 0.05 * int(exact[key])
+    assert approx[("row_count", "*")] == exact[("row_count", "*")]
