@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import bpe, langid, ngram_lm, simhash, toxicity
+from tillsight.llm import ann, bpe, langid, license_scan, mixing, ngram_lm, quality, simhash, tool_calls, toxicity
 from tillsight.llm.common import fold, stored, table
 
 #: Place of the byte-level BPE file; None means the installed public vocabulary.
@@ -23,6 +23,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ann_vp_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, F.col("id") % 100 == 0)
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", (fold(F.col("doc_id"), 10) == 0).alias("held_out"))
@@ -39,6 +49,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(fed, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return tool_calls.link(tool_calls.derived(rows), tool_calls.REPLY)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     machine = toxicity.train(docs, table(spark, sf_dir, "labels"), fold(F.col("id"), 5) != 0)
@@ -47,6 +62,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = stored(simhash.with_fingerprint(docs, "fp").select("doc_id", "fp"), "simhash")
@@ -59,7 +78,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, vocabulary()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_lm_score, op4_language_id, op6_toxicity, op8_simhash, op9_bpe)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality.judge(docs, carry=["doc_id"])
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_ann_vp_tree, op2_mix_sources, op3_lm_score, op4_language_id, op5_tool_calls, op6_toxicity,
+    op7_license_scan, op8_simhash, op9_bpe, op10_quality_rules)}
 
-ORACLE: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express.
+ORACLE: dict[str, str] = {"op5_tool_calls": tool_calls.ORACLE, "op10_quality_rules": quality.ORACLE}
