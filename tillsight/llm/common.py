@@ -46,6 +46,12 @@ def free_name(df: DataFrame, wish: str) -> str:
     return wish
 
 
+def without(df: DataFrame, names: list[str]) -> DataFrame:
+    """``df`` without columns that an operator is about to make: its results replace them."""
+    taken = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the Python workers once a session (SparkContext.addPyFile), so that
     executors need not have it installed."""
@@ -126,8 +132,9 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def append_columns(df: DataFrame, text: str, new: list[tuple[str, str]],
                    work: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """``df`` with columns ``new`` (name, SQL type) made by ``work`` from the text's bytes, chunk by
-    chunk in the tasks that read the rows (no shuffle). ``df``'s columns pass through by position,
-    so extra columns of any name are kept."""
+    chunk in the tasks that read the rows (no shuffle). ``df``'s other columns pass through; one that
+    has the name of a new column is replaced by it."""
+    df = without(df, [n for n, _ in new])
     raw = free_name(df, "text_bytes")
     fed = df.withColumn(raw, F.col(f"`{text}`").cast("binary"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + "".join(

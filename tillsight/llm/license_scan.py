@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, in_arrow
+from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, in_arrow, without
 from tillsight.llm.ngram_lm import _BYTE, _STEP, _mix, _powers
 
 K = 3
@@ -219,6 +219,7 @@ def scan(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", phrases
          notices: dict[str, list[str]] | None = None, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels and score."""
     ts = templates(phrases, notices)
+    docs = without(docs, ["n_base", "first_word", "last_word", "base_labels", "labels", "score"])
     found = spans(docs, ts, text=text, doc_id=doc_id, min_score=min_score)
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     base = F.when(F.col("phrase"), F.col("start"))

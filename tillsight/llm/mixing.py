@@ -87,7 +87,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, cells: int = CELLS)
 def subset_sum(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Bounded knapsack: counts per size whose sum is nearest to ``budget`` (ties: below it)."""
     take = np.zeros(len(sizes), np.int64)
-    reach_to = budget + int(min(sizes[counts > 0], default=0))       # one step above may be nearer
+    reach_to = budget + int(max(sizes[counts > 0], default=0))       # one step above may be nearer
     item_of = np.full(reach_to + 1, -1, np.int32)     # which item first reached a sum
     reached = np.zeros(reach_to + 1, bool)
     reached[0] = True

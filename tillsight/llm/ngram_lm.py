@@ -184,7 +184,9 @@ class Model:
         import pickle
 
         rows = self.segments.where(F.col("segment").between(numbers[0], numbers[-1])).toLocalIterator()
-        return Tables(self.n, {r["segment"]: pickle.loads(r["body"]) for r in rows})
+        none = np.zeros(0, np.uint64)
+        empty = Segment(none, none, none, none.astype(np.int64))      # a hash range without any key
+        return Tables(self.n, {s: empty for s in numbers} | {r["segment"]: pickle.loads(r["body"]) for r in rows})
 
 
 def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int = MIN_COUNT,

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import WORD_PATTERN, free_name, stored
+from tillsight.llm.common import WORD_PATTERN, free_name, stored, without
 from tillsight.session import checkpoint_dir
 
 WINDOW = 5
@@ -36,8 +36,9 @@ RULES = ("base", "symbols", "lines")
 
 def counted(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with the count columns, ``n_lines`` and ``base_failed`` (names after ``prefix``)."""
-    own = docs.columns
     name = {k: prefix + k for k in (*COUNTS, "n_lines", "base_failed")}
+    docs = without(docs, list(name.values()))
+    own = docs.columns
     tmp = {k: free_name(docs, f"{prefix}_{k}") for k in ("t", "w", "l", "h", "s", "p")}
     c = {k: F.col(f"`{v}`") for k, v in (tmp | name).items()}
     keep = [F.col(f"`{x}`") for x in own]
@@ -109,7 +110,8 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", prefix:
 
     The counts are stored once, for the hosts' sums and the result."""
     checkpoint_dir(docs.sparkSession)
-    own = list(carry or docs.columns)
+    made = {prefix + k for k in (*COUNTS, "n_lines", "base_failed")} | {kept}
+    own = [c for c in carry or docs.columns if c.lower() not in made]
     rated = counted(docs, text, prefix).select(
         *[f"`{x}`" for x in dict.fromkeys([*own, host])],
         *[f"`{prefix}{k}`" for k in (*COUNTS, "n_lines", "base_failed")])

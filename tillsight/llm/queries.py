@@ -63,7 +63,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

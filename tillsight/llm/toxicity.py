@@ -25,7 +25,7 @@ Everything is fitted on at most about `sample` documents of either label and `po
 parameters), so what reaches the driver is bounded; every document is scored, over its whole text.
 
 Defined cases: null and empty texts have no word and get the score of a document without any
-suspicious word; without both labels in training every score is the share of the only label (0 if
+suspicious word; without both labels in training every score is the only label (0 if
 none); repeated rows are scored alike; null labels are not used; other columns pass through.
 """
 
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tillsight.llm.common import append_columns, chunks, in_arrow
 
 DECAY, MAX_SPAN, WINDOW = 0.6, 7, 24
-SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 256, 2
+SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 512, 2
 CACHE_WORDS = 1_000_000
 ORDER, ALPHABET = 4, 39
 _RUN = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
@@ -222,7 +222,9 @@ def _fit_words(words: list[str], y: np.ndarray, weight: np.ndarray, landmarks: i
     syms = [encode(w)[0] for w in words]
     rng = np.random.default_rng(1)
     pos, neg = np.flatnonzero(y > 0), np.flatnonzero(y < 0)
-    marks = np.concatenate([rng.permutation(pos)[:landmarks // 2], rng.permutation(neg)[:landmarks // 2]])
+    # The positives of most weight, and as many negatives drawn at random.
+    marks = np.concatenate([pos[np.argsort(-weight[pos], kind="stable")][:landmarks // 2],
+                            rng.permutation(neg)[:landmarks // 2]])
     r, t, v = features([syms[i] for i in marks])
     cols, t = np.unique(t, return_inverse=True)
     phi = np.zeros((len(marks), len(cols)))
@@ -257,7 +259,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, *, t
         marks = marks.where(usable)
     counts = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect() if r["y"] in (0, 1)}
     if len(counts) < 2:
-        return Machine(np.zeros(1), 0.0, None, float(sum(counts) > 0))
+        return Machine(np.zeros(1), 0.0, None, float(1 in counts))
     draw = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("y") == 1, F.lit(min(1.0, sample / counts[1]))).otherwise(F.lit(min(1.0, sample / counts[0])))
     chosen = marks.where(draw < share)
@@ -286,7 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, *, t
     counted = (in_arrow(sentences, words, "w string, bad bigint, fine bigint").groupBy("w")
                .agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine")).checkpoint())
     total = counted.agg(F.sum("bad").alias("b"), F.sum("fine").alias("f")).first()
-    odds = max(1, total["b"]) / max(1, total["f"])
+    odds = max(1, total["b"] or 0) / max(1, total["f"] or 0)
     # Candidates: words far more common under the toxic label, bounded by `pool`.
     gain = F.col("bad") * F.log((F.col("bad") + 0.5) / (F.col("fine") * F.lit(odds) + 0.5))
     candidates = (counted.where((F.col("bad") >= 3) & (F.col("bad") > 10 * odds * F.col("fine")))
@@ -301,9 +303,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, *, t
         if k:
             negatives |= set(_hardest(counted, machine, pool // 2))
         neg = sorted(negatives - strength.keys())
-        # Both sides weigh alike in sum; a witness weighs by the square root of its credit, and its
-        # variants, with a letter inserted at each place, half as much in all.
-        bent = {w[:i] + "qxzkwj"[(i + len(w)) % 6] + w[i:]: c / (2 * len(w)) ** 2
+        # Both sides weigh alike in sum; a witness weighs by the square root of its credit, as
+        # do its variants with a letter inserted at each place, which share that credit.
+        bent = {w[:i] + "qxzkwj"[(i + len(w)) % 6] + w[i:]: c / len(w)
                 for w, c in strength.items() for i in range(1, len(w))}
         bent = {w: c for w, c in bent.items() if w not in strength and len(w) <= WINDOW - 2}
         names = [*strength, *bent, *neg]
@@ -364,6 +366,8 @@ def _calibrated(machine: Machine, fed: DataFrame, prior: float) -> Machine:
 
     got = in_arrow(fed, run, "y int, " + ", ".join(f"m{i} double" for i in range(TOP))).toArrow()
     y = got.column(0).to_numpy().astype(float)
+    if len(set(y)) < 2:        # the labelled documents are not in the table, or only those of one label
+        return Machine(machine.theta, machine.bias, None, float(y.mean()) if len(y) else 0.0)
     x = _design(np.column_stack([got.column(i + 1).to_numpy() for i in range(TOP)]))
     # The sample may hold the labels in another proportion than all labelled rows.
     weight = np.where(y > 0, prior / max(1, (y > 0).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
