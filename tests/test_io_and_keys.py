@@ -53,6 +53,69 @@ def test_save_and_load_star_round_trip(spark):
     assert load_star(spark, d)["fact_sales"].count() == st.fact_sales.count()
 
 
+def test_source_layout_and_part_order(spark):
+    """The source's own headers, no line numbers; the part given first keeps its row."""
+    from tillsight.operators.clean import clean
+
+    d = tempfile.mkdtemp(prefix="tillsight-layout-")
+    head = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+    for name, q in (("z_first", 5), ("a_second", 6)):
+        with open(f"{d}/{name}.csv", "w") as fh:
+            fh.write(head + f"1,S1,MUG,{q},2010-12-01 08:26:00,2.5,8.0,Spain\n1,S1,MUG,9,2010-12-01 08:26:00,2.5,8.0,Spain\n")
+    raw = read_transactions(spark, {n: f"{d}/{n}.csv" for n in ("z_first", "a_second")}, fmt="csv")
+    kept = clean(raw).collect()
+    assert [(r.source, r.quantity, r.customer_id) for r in kept] == [("z_first", 5, "8")]
+    with open(f"{d}/bad.csv", "w") as fh:
+        fh.write(head + "1,S1,MUG,many,2010-12-01 08:26:00,2.5,8.0,Spain\n")
+    import pytest
+    with pytest.raises(Exception, match="many"):
+        read_transactions(spark, {"bad": f"{d}/bad.csv"}, fmt="csv").collect()
+    with pytest.raises(ValueError, match="price"):
+        from tillsight.sources.raw import normalise
+        normalise(raw.drop("price"))
+
+
+def test_csv_star_round_trip(spark):
+    st = warehouse.star(spark, SF001)
+    d = tempfile.mkdtemp(prefix="tillsight-csv-")
+    save_star(st.tables(), d, fmt="csv", snapshot="2001-08-02")
+    back = load_star(spark, d, fmt="csv")
+    for name, df in st.tables().items():
+        assert back[name].dtypes == df.dtypes, name
+        assert sorted(map(tuple, back[name].collect())) == sorted(map(tuple, df.collect())), name
+    from tillsight.sources.sinks import saved_snapshot
+    assert saved_snapshot(spark, d) == "2001-08-02" and back["fact_orders"].count() == st.fact_orders.count()
+
+
+def test_unit_price_keeps_its_decimals(spark):
+    rows = [("1", "A", "MUG", 1, dt.datetime(2010, 1, 2), Decimal(p), "7", "France", i)
+            for i, p in enumerate(["0.001", "0.125"])]
+    rows = [(r[0], f"S{r[-1]}", *r[2:]) for r in rows]
+    from tillsight.operators.star import StarConfig
+    st = build_star(spark.createDataFrame(rows, RAW_TRANSACTIONS), StarConfig(on_duplicate_edges="drop"))
+    assert sorted(r.unit_price for r in st.fact_sales.collect()) == [Decimal("0.001"), Decimal("0.125")]
+
+
+def test_default_dates_belong_to_the_star(spark):
+    """A star of 2010 with the library's own defaults: no date of the test tables."""
+    from tillsight.operators.star import StarConfig
+    rows = [(str(c), f"S{c}", "MUG", 1, dt.datetime(2010, 1, 1 + c), Decimal("2.000"), str(c), "France", c) for c in range(20)]
+    st = build_star(spark.createDataFrame(rows, RAW_TRANSACTIONS), StarConfig(on_duplicate_edges="drop"))
+    assert customer.cust_inactive(st).count() == 20
+    assert all(r.avg_recency_days > 700 for r in customer.rfm_segments(st).collect())
+
+
+def test_command_line_parameters_are_typed():
+    import pytest
+    from tillsight.__main__ import typed
+    from tillsight.plans import products
+
+    assert typed(products.products_top_revenue, {"k": "5"}) == {"k": 5}
+    assert typed(customer.cust_inactive, {"as_of": "2011-01-01", "days": "30"}) == {"as_of": "2011-01-01", "days": 30}
+    with pytest.raises(SystemExit):
+        typed(products.products_top_revenue, {"n": "5"})
+
+
 def test_hash_keys_give_the_same_marts(spark):
     cfg = warehouse.testdata_config(spark, SF001, key_mode="hash")
     hashed = build_star(warehouse.raw(spark, SF001), cfg)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillsight.operators.ranking import (exact_quantiles, ntile_of, qcut_rank_bin, sequence,
+from tillsight.operators.ranking import (ntile_of, placed, qcut_rank_bin, quantile_edges, sequence,
                                          top_rank)
 
 
@@ -72,7 +72,7 @@ def test_exact_quantiles(spark):
     rnd = random.Random(3)
     vals = [rnd.randint(0, 400) for _ in range(997)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v long")
-    got = exact_quantiles(df, "v", [(1, 5), (2, 5), (3, 5), (4, 5), (3, 4)], "id", num_partitions=5)
+    got = quantile_edges(df, "v", [(1, 5), (2, 5), (3, 5), (4, 5), (3, 4)], num_partitions=5).first()["edges"]
     exp = np.quantile(np.array(vals, dtype=float), [0.2, 0.4, 0.6, 0.8, 0.75])
     assert np.allclose(got, exp)
 
@@ -85,16 +85,38 @@ def test_top_rank_includes_ties(spark):
     assert sorted(map(tuple, got.select("id", "rk").collect())) == sorted(map(tuple, exp.select("id", "rk").collect()))
 
 
-def test_histogram_quantiles_equal_ranked(spark):
-    from tillsight.operators.ranking import exact_quantiles_by_histogram
+def test_quantiles_of_no_value_and_one_value(spark):
+    df = spark.createDataFrame([(1, None)], "id long, v long")
+    assert quantile_edges(df, "v", [(1, 2)]).first()["edges"] is None
+    one = spark.createDataFrame([(1, 7)], "id long, v long")
+    assert quantile_edges(one, "v", [(0, 5), (2, 5), (5, 5)]).first()["edges"] == [7.0, 7.0, 7.0]
 
-    rnd = random.Random(7)
-    df = spark.createDataFrame([(i, rnd.randint(0, 60)) for i in range(501)], "id long, v long")
-    fr = [(i, 5) for i in range(6)] + [(3, 4)]
-    a = exact_quantiles_by_histogram(df, "v", fr, "id")
-    b = exact_quantiles(df, "v", fr, "id", num_partitions=4)
-    c = exact_quantiles_by_histogram(df, "v", fr, "id", max_distinct=5)   # falls back
-    assert a == b == c
+
+def test_dropped_edges_equal_pandas(spark):
+    import pandas as pd
+
+    from tillsight.operators.ranking import quantile_bins
+
+    for vals in ([0, 0, 0, 0, 1, 2, 3, 4, 5, 6], [1, 1, 1, 1, 1, 1, 2, 3], [5, 5, 5, 5, 9], [1, 2, 2, 2, 2, 2, 2, 3, 3, 3]):
+        df = spark.createDataFrame(list(enumerate(vals)), "id long, v long")
+        got = quantile_bins(df, "v", 5, "b", "id", on_duplicate_edges="drop").orderBy("id").toPandas()["b"].tolist()
+        assert got == (pd.qcut(pd.Series(vals), 5, labels=False, duplicates="drop") + 1).tolist(), vals
+
+
+def test_row_numbers_need_one_exchange(spark):
+    df = _frame(spark, 100, 10, 1, 1)
+    plan = placed(df, [("v", True), ("id", True)], 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_many_partitions_and_heavy_ties(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 3).alias("v"), (F.col("id") % 2).alias("g"))
+    for by in ([], ["g"]):
+        got = sequence(df, [("v", False), ("id", True)], by=by, rank="rk", rank_on=["v"], num_partitions=2000)
+        w = Window.partitionBy(*by).orderBy(F.col("v").desc())
+        exp = df.select("id", F.rank().over(w).alias("rk2"), F.row_number().over(w.orderBy(F.col("v").desc(), "id")).alias("rn2"))
+        j = got.join(exp, "id")
+        assert j.count() == 3000 and j.where("rk <> rk2 or rn <> rn2").count() == 0
 
 
 @pytest.mark.parametrize("parts", [1, 5])

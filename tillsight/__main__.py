@@ -13,6 +13,7 @@ from the submit configuration.
 from __future__ import annotations
 
 import argparse
+import inspect
 import sys
 
 from pyspark.sql import SparkSession
@@ -28,7 +29,7 @@ def _session() -> SparkSession:
 
 def _build(args) -> None:
     from tillsight import warehouse
-    from tillsight.operators.star import StarConfig, build_star, order_grain
+    from tillsight.operators.star import StarConfig, build_star
     from tillsight.sources.raw import read_transactions
     from tillsight.sources.sinks import save_star
 
@@ -41,36 +42,44 @@ def _build(args) -> None:
         raw = read_transactions(spark, parts, fmt=args.format)
         cfg = StarConfig(snapshot=args.snapshot, key_mode=args.keys)
     star = build_star(raw, cfg)
-    paths = save_star(star.tables(), args.out, partition_fact_by_month=args.partition_by_month)
-    order_grain(spark.read.parquet(paths["fact_sales"])).write.mode("overwrite").parquet(f"{args.out}/fact_orders")
+    paths = save_star(star.tables(), args.out, partition_fact_by_month=args.partition_by_month, snapshot=star.snapshot)
     for name, path in paths.items():
         print(name, spark.read.parquet(path).count(), path)
 
 
 def _mart(args) -> None:
     from tillsight import plans
-    from tillsight.operators.star import Star
-    from tillsight.sources.sinks import load_star
+    from tillsight.operators.star import SNAPSHOT, Star
+    from tillsight.sources.sinks import load_star, saved_snapshot
 
     spark = _session()
     marts = plans.registry()
     if args.name not in marts:
         sys.exit(f"unknown mart {args.name!r}; one of: {', '.join(sorted(marts))}")
     t = load_star(spark, args.star)
-    try:        # written by "build"; when absent the marts aggregate the fact themselves
-        fact_orders = spark.read.parquet(f"{args.star.rstrip('/')}/fact_orders")
-    except Exception:  # noqa: BLE001 - a missing path raises AnalysisException
-        fact_orders = None
+    # Without a saved order grain the marts aggregate the fact themselves.
     star = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
-                fact_orders=fact_orders)
-    params = dict(p.split("=", 1) for p in (args.param or []))
-    df = marts[args.name](star, **params)
+                fact_orders=t.get("fact_orders"), snapshot=saved_snapshot(spark, args.star) or SNAPSHOT)
+    df = marts[args.name](star, **typed(marts[args.name], dict(p.split("=", 1) for p in (args.param or []))))
     if args.out:
         df.write.mode("overwrite").parquet(args.out)
     else:
         df.show(args.rows, truncate=False)
 
 
+def typed(mart, params: dict[str, str]) -> dict:
+    """Parameters from the command line, by the types of the mart's signature."""
+    known = inspect.signature(mart).parameters
+    out = {}
+    for k, v in params.items():
+        if k not in known or k == "star":
+            raise SystemExit(f"unknown parameter {k!r}; one of: {', '.join(x for x in known if x != 'star') or 'none'}")
+        default = known[k].default
+        kind = type(default) if default is not None and default is not inspect.Parameter.empty else str
+        out[k] = tuple(int(x) for x in v.split(",")) if kind is tuple else kind(v)
+    return out
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tillsight")
     sub = ap.add_subparsers(dest="cmd", required=True)

@@ -28,7 +28,7 @@ def title_case(c: Column | str) -> Column:
     """
     col = F.col(c) if isinstance(c, str) else c
     runs = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    capped = F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1 << 30)))
+    capped = F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.right(x, F.length(x) - 1)))
     return F.when(col.isNull(), F.lit(None)).otherwise(F.array_join(capped, ""))
 
 

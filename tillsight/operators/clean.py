@@ -20,7 +20,7 @@ INVALID_CODES = ["POST", "D", "M", "BANK CHARGES", "PADS", "DOT", "CRUK"]
 CANCEL_PREFIX = "C"
 GIFT_PREFIX = "GIFT"
 DEDUP_KEYS = ["invoice", "stock_code", "customer_id"]
-DEFAULT_ORDER = ["source", "line_no"]
+DEFAULT_ORDER = ["part_no", "line_no"]
 
 
 def drop_nulls(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -59,7 +59,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(packed).select(*keys, "_first.*").select(*df.columns)
 
 
-def clean(raw: DataFrame, order: Sequence[str] = DEFAULT_ORDER, invalid_codes: Sequence[str] = INVALID_CODES) -> DataFrame:
+def clean(raw: DataFrame, order: Sequence[str] | None = None, invalid_codes: Sequence[str] = INVALID_CODES) -> DataFrame:
     df = drop_nulls(raw, ["customer_id"])
     df = drop_nulls(df, ["description"])
     df = drop_prefix(df, "invoice", CANCEL_PREFIX)
@@ -68,10 +68,10 @@ def clean(raw: DataFrame, order: Sequence[str] = DEFAULT_ORDER, invalid_codes: S
     df = drop_prefix(df, "stock_code", GIFT_PREFIX)
     df = df.withColumns({c: strip(c) for c in ["stock_code", "description", "country"]})
     df = df.withColumn("country", title_case("country"))
-    return first_per_key(df, DEDUP_KEYS, order)
+    return first_per_key(df, DEDUP_KEYS, order or [c for c in DEFAULT_ORDER if c in raw.columns])
 
 
-def clean_accounting(raw: DataFrame, order: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
+def clean_accounting(raw: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Rows removed by each rule, in rule order (the reference logs these counts). One pass:
     each row is attributed to the first rule that removes it."""
     s = F.col

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
-from tillsight.operators.joins import skew_safe_join
+from tillsight.operators.joins import lookup_join
+from tillsight.operators.keys import part_of
 from tillsight.operators.ranking import quantile_bins
 
 MARGIN = 0.4            # fixed value: assumed profit margin
@@ -25,13 +26,13 @@ def enrich_money(df: DataFrame, margin: float = MARGIN) -> DataFrame:
     2); order_value = the invoice's total of cleaned revenue (null for a null invoice).
 
     The invoice total is a partial aggregation joined back on the invoice; a hot invoice is split
-    (``joins.skew_safe_join``) rather than sorted in one task as a window would be.
+    by the join (``joins.lookup_join``) rather than sorted in one task as a window would be.
     """
     df = df.withColumn("revenue", money(F.col("quantity") * F.col("price")))
     df = df.withColumn("discount", F.lit(0.0))
     df = df.withColumn("profit", money(F.col("revenue") * F.lit(margin).cast("decimal(3,2)")))
     totals = df.groupBy("invoice").agg(F.sum("revenue").cast("decimal(18,2)").alias("order_value"))
-    return skew_safe_join(df, totals, ["invoice"], how="left", checkpoint_big=True)
+    return lookup_join(df, totals, ["invoice"])
 
 
 def with_date_parts(df: DataFrame, ts: str = "invoice_ts") -> DataFrame:
@@ -46,7 +47,7 @@ def rfm(df: DataFrame, snapshot=SNAPSHOT) -> DataFrame:
     monetary = Σ revenue (exact decimal). ``first_*`` come from the customer's first line in the
     appearance order (timestamp, invoice, line) and give the dimension's country and key order.
     """
-    first = F.min(F.struct("invoice_ts", "invoice", "line_no", "country")).alias("_first")
+    first = F.min(F.struct("invoice_ts", "invoice", part_of(df), "line_no", "country")).alias("_first")
     agg = df.groupBy("customer_id").agg(
         F.max("invoice_ts").alias("last_purchase"),
         F.count_distinct("invoice").alias("frequency"),
@@ -67,9 +68,8 @@ def rfm_scores(rfm_df: DataFrame, k: int = 5, on_duplicate_edges: str = "raise")
     """T5–T7. R: quintile of recency by value, labels reversed (k = most recent). F and M:
     quintile bins of the first-come rank, ties broken by customer id ascending (the order the
     reference's group-by leaves rows in). Then rfm_score, segment and clv."""
-    # Recency is whole days, so its distinct values are bounded by the calendar span.
     out = quantile_bins(rfm_df, "recency_days", k, "r_score", "customer_id", method="value",
-                        labels=list(range(k, 0, -1)), on_duplicate_edges=on_duplicate_edges, small_domain=True)
+                        labels=list(range(k, 0, -1)), on_duplicate_edges=on_duplicate_edges)
     out = quantile_bins(out, "frequency", k, "f_score", "customer_id", method="first")
     out = quantile_bins(out, "monetary", k, "m_score", "customer_id", method="first")
     out = out.withColumns({c: F.col(c).cast("int") for c in ["r_score", "f_score", "m_score"]})
@@ -82,4 +82,4 @@ def attach_rfm(df: DataFrame, scored: DataFrame) -> DataFrame:
     """Customer metrics onto every line (left join on the customer id)."""
     cols = ["customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
             "rfm_score", "segment", "clv"]
-    return df.join(scored.select(*cols), "customer_id", "left")
+    return lookup_join(df, scored.select(*cols), ["customer_id"])

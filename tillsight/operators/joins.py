@@ -1,15 +1,9 @@
-"""Joins of the line table with per-key tables that stay balanced when one key is hot.
+"""Joins of the line table with per-key tables.
 
-With AQE's skew-join handling on (Spark's default), a plain join is used: AQE measures the
-shuffle and splits an oversized partition. When it is off, ``skew_safe_join`` splits the hot keys
-out itself:
-
-1. keys with more than ``tillsight.skew.maxRowsPerKey`` rows on the big side are counted by an
-   aggregation (partial aggregation first); there are at most ``rows / threshold`` of them, so
-   that set has a size bound by construction;
-2. big-side rows with a hot key are joined to the matching small-side rows by broadcast (at
-   most one small row per hot key), so no shuffle gathers a hot key into one task;
-3. the remaining rows are joined normally; the two parts are unioned.
+One plan: an equi-join on shuffled keys, small enough sides broadcast by their measured size. A hot key is
+split by adaptive execution, which measures the shuffle and cuts an oversized partition into
+several tasks (``spark.sql.adaptive.skewJoin``, on in ``session.DEFAULT_CONF`` and by Spark's own
+default); the small side has at most one row per key, so each piece meets the same single row.
 """
 
 from __future__ import annotations
@@ -17,50 +11,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ROWS_PER_KEY_CONF = "tillsight.skew.maxRowsPerKey"
-DEFAULT_MAX_ROWS_PER_KEY = 5_000_000
-
-
-def aqe_splits_skew(spark) -> bool:
-    conf = spark.conf
-    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
-
 
-def _cond(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
-    parts = [(left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b]) for a, b in pairs]
-    return reduce(lambda x, y: x & y, parts)
-
-
-def skew_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], small_keys: Sequence[str] | None = None,
-                   how: str = "left", null_safe: bool = False, checkpoint_big: bool = False) -> DataFrame:
-    """``big`` joined to ``small`` (at most one row per key) on ``keys`` = ``small_keys``.
-    ``small_keys`` name the key columns on the small side (default: the same names); they are
-    dropped from the result. ``how`` is "inner" or "left". The split path reads ``big`` three
-    times; ``checkpoint_big`` pins it first when it is expensive to recompute (not a file scan)."""
+def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], small_keys: Sequence[str] | None = None,
+                how: str = "left", null_safe: bool = False) -> DataFrame:
+    """``big`` joined to ``small`` (at most one row per key) on ``keys`` = ``small_keys``, which name
+    the key columns on the small side (default: the same names) and are dropped from the result."""
     small_keys = list(small_keys or keys)
-    keys = list(keys)
-    spark = big.sparkSession
     renamed = [f"_sk_{i}" for i in range(len(keys))]
     sm = small.select(*[F.col(k).alias(r) for k, r in zip(small_keys, renamed)],
                       *[c for c in small.columns if c not in small_keys])
-    pairs = list(zip(keys, renamed))
-    if aqe_splits_skew(spark):
-        return big.join(sm, _cond(big, sm, pairs, null_safe), how).drop(*renamed)
-
-    if checkpoint_big:
-        big = big.checkpoint(eager=True)
-    limit = int(spark.conf.get(MAX_ROWS_PER_KEY_CONF, str(DEFAULT_MAX_ROWS_PER_KEY)))
-    hot = (big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-              .select(*[F.col(k).alias(f"_hk_{i}") for i, k in enumerate(keys)]))
-    hot_pairs = [(k, f"_hk_{i}") for i, k in enumerate(keys)]
-    hot_b = F.broadcast(hot)                       # at most rows / limit keys
-    big_hot = big.join(hot_b, _cond(big, hot, hot_pairs, null_safe), "left_semi")
-    big_cold = big.join(hot_b, _cond(big, hot, hot_pairs, null_safe), "left_anti")
-    sm_hot = sm.join(hot_b, _cond(sm, hot, list(zip(renamed, [p[1] for p in hot_pairs])), null_safe), "left_semi")
-    hot_part = big_hot.join(F.broadcast(sm_hot), _cond(big_hot, sm_hot, pairs, null_safe), how).drop(*renamed)
-    cold_part = big_cold.join(sm, _cond(big_cold, sm, pairs, null_safe), how).drop(*renamed)
-    return cold_part.unionByName(hot_part)
+    cond = reduce(lambda x, y: x & y, [big[a].eqNullSafe(sm[b]) if null_safe else big[a] == sm[b]
+                                       for a, b in zip(keys, renamed)])
+    return big.join(sm, cond, how).drop(*renamed)

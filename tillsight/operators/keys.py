@@ -1,7 +1,7 @@
 """T8 — surrogate keys.
 
 ``dense``: 1..n in order of first appearance, as the reference numbers them. The order is the
-entity's first line (timestamp, invoice, line number), then the natural key, so it is total.
+entity's first line (timestamp, invoice, part, line number), then the natural key, so it is total.
 Numbering is a global row number, computed with ``ranking.sequence`` over the entity table (one
 row per entity), never in a single partition.
 
@@ -12,7 +12,7 @@ any collision.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.operators.ranking import sequence
@@ -20,11 +20,16 @@ from tillsight.operators.ranking import sequence
 APPEARANCE = ["first_ts", "first_invoice", "first_line"]
 
 
+def part_of(df: DataFrame) -> Column:
+    """The part's number, which orders lines before their place in the part."""
+    return (F.col("part_no") if "part_no" in df.columns else F.lit(0)).alias("part_no")
+
+
 def first_seen(df: DataFrame, natural: str, carry: list[str] | None = None) -> DataFrame:
     """One row per natural key with its first line's (timestamp, invoice, line) and carried
     attributes taken from that same line."""
     carry = carry or []
-    first = F.min(F.struct("invoice_ts", "invoice", "line_no", *carry)).alias("_f")
+    first = F.min(F.struct("invoice_ts", "invoice", part_of(df), "line_no", *carry)).alias("_f")
     return df.groupBy(natural).agg(first).select(
         natural, F.col("_f.invoice_ts").alias("first_ts"), F.col("_f.invoice").alias("first_invoice"),
         F.col("_f.line_no").alias("first_line"), *[F.col(f"_f.{c}").alias(c) for c in carry])

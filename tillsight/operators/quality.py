@@ -14,20 +14,22 @@ from tillsight.operators.ranking import top_k
 def profile(df: DataFrame, ts: str = "invoice_ts", customer: str = "customer_id",
             product: str = "stock_code", approx: bool = False) -> DataFrame:
     """Row and column count, date range, distinct customers and products, nulls per column,
-    as (metric, column_name, value) rows. One aggregation pass over the source. ``approx=True``
-    counts distincts with HyperLogLog (``approx_count_distinct``), which needs no shuffle of the
-    distinct values, for sources too large for exact distinct counts."""
-    distinct = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
-    aggs = [F.count(F.lit(1)).cast("string").alias("row_count|*"),
-            F.lit(str(len(df.columns))).alias("column_count|*"),
-            F.min(ts).cast("string").alias(f"min|{ts}"), F.max(ts).cast("string").alias(f"max|{ts}"),
-            distinct(customer).cast("string").alias(f"distinct|{customer}"),
-            distinct(product).cast("string").alias(f"distinct|{product}")]
-    aggs += [(F.count(F.lit(1)) - F.count(c)).cast("string").alias(f"nulls|{c}") for c in df.columns]
-    row = df.agg(*aggs)
-    names = row.columns
-    pairs = ", ".join(f"'{n.split('|')[0]}', '{n.split('|')[1]}', `{n}`" for n in names)
-    return row.selectExpr(f"stack({len(names)}, {pairs}) AS (metric, column_name, value)")
+    as (metric, column_name, value) rows. One aggregation pass over the source, and one per exact
+    distinct count (values reduced map-side; together they would multiply every row).
+    ``approx=True`` counts distincts with HyperLogLog (``approx_count_distinct``) in the same pass,
+    for sources too large for exact distinct counts."""
+    aggs = {"row_count|*": F.count(F.lit(1)).cast("string"), "column_count|*": F.lit(str(len(df.columns))),
+            f"min|{ts}": F.min(ts).cast("string"), f"max|{ts}": F.max(ts).cast("string")}
+    if approx:
+        aggs |= {f"distinct|{c}": F.approx_count_distinct(c, 0.01).cast("string") for c in (customer, product)}
+    aggs |= {f"nulls|{c}": (F.count(F.lit(1)) - F.count(c)).cast("string") for c in df.columns}
+    row = df.agg(*[e.alias(n) for n, e in aggs.items()])
+    pairs = ", ".join(f"'{n.split('|')[0]}', '{n.split('|')[1]}', `{n}`" for n in aggs)
+    out = row.selectExpr(f"stack({len(aggs)}, {pairs}) AS (metric, column_name, value)")
+    for c in () if approx else (customer, product):
+        n = df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).cast("string").alias("value"))
+        out = out.unionByName(n.select(F.lit("distinct").alias("metric"), F.lit(c).alias("column_name"), "value"))
+    return out
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -47,24 +49,22 @@ def sanity_top5(star, k: int = 5) -> DataFrame:
     return top.select("customer_id", "segment", "country", F.col("_rev").cast("double").alias("total_revenue"))
 
 
-def _dup_null(df: DataFrame, table: str, key: str, not_null: str) -> list[DataFrame]:
-    a = df.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("d"),
-               (F.count(F.lit(1)) - F.count(key)).alias("n"),
+def _dup_null(df: DataFrame, table: str, key: str, not_null: str) -> DataFrame:
+    """Duplicates and nulls of a table's key, nulls of its natural key: one aggregate, stacked."""
+    a = df.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("d"), (F.count(F.lit(1)) - F.count(key)).alias("n"),
                (F.count(F.lit(1)) - F.count(not_null)).alias("nn"))
-    return [a.select(F.lit(f"{table}.{key} duplicate").alias("check_name"), F.col("d").alias("violations")),
-            a.select(F.lit(f"{table}.{key} null").alias("check_name"), F.col("n").alias("violations")),
-            a.select(F.lit(f"{table}.{not_null} null").alias("check_name"), F.col("nn").alias("violations"))]
+    return a.selectExpr(f"stack(3, '{table}.{key} duplicate', d, '{table}.{key} null', n, '{table}.{not_null} null', nn)"
+                        " AS (check_name, violations)")
 
 
 def key_integrity(star) -> DataFrame:
     """Q3: the DDL's PRIMARY KEY / NOT NULL / REFERENCES, which Parquet does not enforce, as
     counts of violations (duplicates and nulls per key, fact rows whose key has no dimension
     row, found with anti joins)."""
-    parts = []
-    parts += _dup_null(star.dim_customer, "dim_customer", "customer_key", "customer_id")
-    parts += _dup_null(star.dim_product, "dim_product", "product_key", "product_id")
-    parts += _dup_null(star.dim_date, "dim_date", "date_key", "full_date")
-    parts += _dup_null(star.dim_location, "dim_location", "location_key", "country")
+    parts = [_dup_null(star.dim_customer, "dim_customer", "customer_key", "customer_id"),
+             _dup_null(star.dim_product, "dim_product", "product_key", "product_id"),
+             _dup_null(star.dim_date, "dim_date", "date_key", "full_date"),
+             _dup_null(star.dim_location, "dim_location", "location_key", "country")]
     f = star.fact_sales
     parts.append(f.agg((F.count(F.lit(1)) - F.count("invoice_id")).alias("violations"))
                  .select(F.lit("fact_sales.invoice_id null").alias("check_name"), "violations"))

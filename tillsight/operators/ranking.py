@@ -7,15 +7,18 @@ the same numbers in parallel:
 
 1. ``repartitionByRange`` on (group keys, order keys): range bounds come from a sample, and the
    order keys include a unique tie-break, so even a group holding a third of all rows is split
-   across partitions.
-2. Within each range partition the ordinary window functions give local row numbers, ranks and
-   running sums. The result is checkpointed: range bounds come from sampling and must not be
-   drawn twice.
-3. Only a group that starts in an earlier partition needs a correction, and each partition has at
-   most one such group (its first). The windows also record each group's size within the
-   partition, so the first and last rows of every (partition, group) are found with filters; a
-   summary with one row per partition, built from those rows alone, carries the offsets and is
-   broadcast back. Its size is bounded by the number of partitions, not by the data.
+   across partitions. The result is checkpointed: bounds come from sampling and must not be drawn
+   twice.
+2. A global row number (also behind NTILE, quantile bins and surrogate keys) needs no window: rows
+   are sorted inside their range partition in the same stage, and ``monotonically_increasing_id``
+   gives the partition (upper 31 bits) and the row's place in it (lower 33 bits). The rows of the
+   earlier partitions, from a summary of one row per partition, are added.
+3. Ranks, running sums and groups use the ordinary window functions within each range partition.
+   Only a group that starts in an earlier partition needs a correction, and each partition has at
+   most one such group (its first). The summary carries the offsets: what a partition's first
+   group (or its first tie) has before it are the running sums, over the summary in partition
+   order, of the partitions that end in that same group (or tie). Its size is bounded by the number of
+   partitions, not by the data; it is never joined to itself.
 
 Sums stay in DECIMAL, so a running sum does not depend on how the rows were split.
 """
@@ -68,6 +71,8 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     sort = _sort_exprs(order)
+    if not by and not rank_on and not running:
+        return _numbered(placed(df, order, n).checkpoint(eager=True), row_number, with_total)
     ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in by], *sort)
     ranged = ranged.withColumn("_pid", F.spark_partition_id())
     part = Window.partitionBy("_pid", *by)
@@ -82,40 +87,38 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
         local = local.withColumn(f"_lrs_{out}", F.sum(src).over(frame))
     local = local.checkpoint(eager=True)
 
-    if not by and not rank_on:
-        return _global_offsets(local, running, row_number, with_total)
-
     # Group key in range order (nulls last): a struct of (is null, value) per column.
     g = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in by]) if by else F.lit(0)
     ties = _struct(rank_on) if rank_on else None
     starts = local.where(F.col("_lrn") == 1)             # first row of each (partition, group)
     ends = local.where(F.col("_lrn") == F.col("_lcnt"))  # last row of each (partition, group)
-    bounds = starts.groupBy("_pid").agg(F.min(g).alias("_fg"), F.max(g).alias("_lg"),
-                                        F.sum("_lcnt").alias("_cnt"))
-
-    # The last group of each partition: its local count, its last tie group, its running sums.
-    last_fields = [F.col("_pid").alias("_q"), F.col("_lg"), F.col("_lcnt").alias("cnt_last")]
+    # One row per partition: its first group and tie, its row count, and its last group with that
+    # group's local count, last tie and running sums.
+    ends_fields = [F.col("_lcnt").alias("cnt_last"), *[F.col(f"_lrs_{o}").alias(f"sum_last_{o}") for o in running]]
+    first_fields = [g.alias("g")]
     if rank_on:
-        last_fields += [(F.col("_lrn") - F.col("_lrk") + 1).alias("tie_cnt_last"), ties.alias("tie_last")]
-    last_fields += [F.col(f"_lrs_{o}").alias(f"sum_last_{o}") for o in running]
-    last = (ends.join(F.broadcast(bounds.select("_pid", "_lg")), ["_pid"])
-                .where(g.eqNullSafe(F.col("_lg"))).select(*last_fields))
-
-    firsts = bounds.select("_pid", "_fg", "_cnt")
+        ends_fields += [(F.col("_lrn") - F.col("_lrk") + 1).alias("tie_cnt_last"), ties.alias("tie_last")]
+        first_fields.append(ties.alias("tie"))
+    bounds = starts.groupBy("_pid").agg(F.min(F.struct(*first_fields)).alias("_f"), F.sum("_lcnt").alias("_cnt"))
+    last = ends.groupBy("_pid").agg(F.max(F.struct(g.alias("_lg"), *ends_fields)).alias("_l"))
+    summary = bounds.join(last, "_pid").select("_pid", "_cnt", F.col("_f.g").alias("_fg"),
+                                               *([F.col("_f.tie").alias("_tie_first")] if rank_on else []), "_l.*")
+    line = Window.orderBy("_pid")
+    so_far = Window.partitionBy("_lg").orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cums = [F.sum("cnt_last").over(so_far).alias("_c_off"),
+            *[F.sum(f"sum_last_{o}").over(so_far).alias(f"_c_{o}") for o in running]]
     if rank_on:
-        first_tie = (starts.join(F.broadcast(bounds.select("_pid", "_fg")), ["_pid"])
-                           .where(g.eqNullSafe(F.col("_fg")))
-                           .select("_pid", ties.alias("_tie_first")))
-        firsts = firsts.join(first_tie, ["_pid"], "left")
-
-    aggs = [F.sum("cnt_last").alias("_off")]
-    aggs += [F.sum(f"sum_last_{o}").alias(f"_soff_{o}") for o in running]
+        cums.append(F.sum("tie_cnt_last").over(Window.partitionBy("_lg", "tie_last").orderBy("_pid").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)).alias("_c_eq"))
+    summary = summary.select("*", *cums)
+    # The partition before ends in this one's first group, or that group begins here.
+    goes_on = F.lag("_lg").over(line).eqNullSafe(F.col("_fg"))
+    corr = [F.col("_pid"), F.col("_fg"), F.col("_cnt"), F.when(goes_on, F.lag("_c_off").over(line)).alias("_off"),
+            *[F.when(goes_on, F.lag(f"_c_{o}").over(line)).alias(f"_soff_{o}") for o in running]]
     if rank_on:
-        aggs.append(F.sum(F.when(F.col("tie_last").eqNullSafe(F.col("_tie_first")),
-                                 F.col("tie_cnt_last")).otherwise(0)).alias("_eq"))
-    corr = (firsts.join(last, firsts["_fg"].eqNullSafe(last["_lg"]) & (last["_q"] < firsts["_pid"]), "left")
-                  .groupBy(*[c for c in firsts.columns])
-                  .agg(*aggs))
+        same_tie = goes_on & F.lag("tie_last").over(line).eqNullSafe(F.col("_tie_first"))
+        corr += [F.col("_tie_first"), F.when(same_tie, F.lag("_c_eq").over(line)).alias("_eq")]
+    corr = summary.select(*corr)
     if with_total:
         # The row count rides along in the summary: a sum over its one row per partition.
         corr = corr.withColumn(with_total, F.sum("_cnt").over(Window.partitionBy()).cast("long"))
@@ -136,27 +139,30 @@ def sequence(df: DataFrame, order: Order, by: Sequence[str] = (), *, row_number:
     return out.drop(*[c for c in drop if c in out.columns])
 
 
-def _global_offsets(local: DataFrame, running: Mapping[str, str], row_number: str | None,
-                    with_total: str | None) -> DataFrame:
-    """Global form without RANK: a row's number is its local number plus the row count of all
-    earlier partitions (running sums likewise); the offsets are prefix sums over a summary of
-    one row per partition."""
-    # With no groups each partition is one group: its last row carries the partition's count and sums.
-    summary = local.where(F.col("_lrn") == F.col("_lcnt")).select(
-        "_pid", F.col("_lcnt").alias("_cnt"), *[F.col(f"_lrs_{o}").alias(f"_psum_{o}") for o in running])
+_PLACE_BITS = 33       # documented layout of monotonically_increasing_id
+
+
+def placed(df: DataFrame, order: Order, num_partitions: int) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, with ``_mid`` = partition and place: one
+    exchange, one sort, no window."""
+    sort = _sort_exprs(order)
+    return (df.repartitionByRange(num_partitions, *sort).sortWithinPartitions(*sort)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+
+
+def _numbered(local: DataFrame, row_number: str | None, with_total: str | None) -> DataFrame:
+    """Global row numbers of ``placed`` rows."""
+    pid = F.shiftright("_mid", _PLACE_BITS)
+    summary = local.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.col("_pid"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
-    cols += [F.sum(f"_psum_{o}").over(before).alias(f"_soff_{o}") for o in running]
     if with_total:
         cols.append(F.sum("_cnt").over(Window.partitionBy()).cast("long").alias(with_total))
-    out = local.join(F.broadcast(summary.select(*cols)), ["_pid"])
+    out = local.withColumn("_pid", pid).join(F.broadcast(summary.select(*cols)), ["_pid"])
     if row_number:
-        out = out.withColumn(row_number, (F.col("_lrn") + F.col("_off")).cast("long"))
-    for o in running:
-        local_t = dict(local.dtypes)[f"_lrs_{o}"]
-        out = out.withColumn(o, (F.col(f"_lrs_{o}") + F.coalesce(F.col(f"_soff_{o}"), F.lit(0))).cast(local_t))
-    return out.drop("_pid", "_lrn", "_lcnt", "_off", *[f"_lrs_{o}" for o in running],
-                    *[f"_soff_{o}" for o in running])
+        place = F.col("_mid").bitwiseAND((1 << _PLACE_BITS) - 1)
+        out = out.withColumn(row_number, (place + 1 + F.col("_off")).cast("long"))
+    return out.drop("_pid", "_mid", "_off")
 
 
 def ntile_of(rn: Column | str, total: Column | str, k: int) -> Column:
@@ -189,107 +195,59 @@ def qcut_rank_bin(rn: Column | str, total: Column | str, k: int) -> Column:
     return F.when(den <= 0, F.lit(1)).otherwise(F.greatest(F.lit(1), b)).cast("int")
 
 
-def exact_quantiles(df: DataFrame, col: str, fractions: Sequence[tuple[int, int]], tiebreak: str,
-                    num_partitions: int | None = None) -> list[float | None]:
-    """Exact PERCENTILE_CONT at fractions given as (numerator, denominator), with linear
-    interpolation between the two neighbouring ranks. Positions are computed in integer
-    arithmetic, so there is no float error in where an edge falls. Only the (at most two per
-    fraction) rows at the needed positions reach the driver."""
-    ranked = sequence(df.select(col, tiebreak).where(F.col(col).isNotNull()),
-                      [(col, True), (tiebreak, True)], row_number="_rn",
-                      num_partitions=num_partitions, with_total="_n")
-    total_row = ranked.select("_n").limit(1).collect()
-    if not total_row:
-        return [None] * len(fractions)
-    n = int(total_row[0]["_n"])
-    wanted = {}
-    for num, den in fractions:
-        pos = num * (n - 1)             # 0-based position times den
-        lo, rem = divmod(pos, den)
-        wanted[(num, den)] = (lo + 1, min(lo + 2, n), rem, den)
-    ranks = sorted({p for lo, hi, _, _ in wanted.values() for p in (lo, hi)})
-    vals = {int(r["_rn"]): r[col] for r in ranked.where(F.col("_rn").isin(ranks)).select("_rn", col).collect()}
-    out = []
-    for key in fractions:
-        lo, hi, rem, den = wanted[key]
-        a, b = float(vals[lo]), float(vals[hi])
-        out.append(a + (b - a) * rem / den if rem else a)
-    return out
-
-
-def exact_quantiles_by_histogram(df: DataFrame, col: str, fractions: Sequence[tuple[int, int]],
-                                 tiebreak: str, max_distinct: int = 100_000) -> list[float | None]:
-    """``exact_quantiles`` for a column with few distinct values (such as whole days since a
-    purchase, bounded by the calendar span): one aggregation to (value, count), fetched only if
-    it has at most ``max_distinct`` rows, else the ranked path. Same positions, same result."""
-    hist = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    rows = hist.limit(max_distinct + 1).collect()
-    if len(rows) > max_distinct:
-        return exact_quantiles(df, col, fractions, tiebreak)
-    rows.sort(key=lambda r: r[col])
-    n = sum(int(r["_c"]) for r in rows)
-    if n == 0:
-        return [None] * len(fractions)
-
-    def at(rank: int):             # 1-based rank → value
-        seen = 0
-        for r in rows:
-            seen += int(r["_c"])
-            if rank <= seen:
-                return float(r[col])
-        return float(rows[-1][col])
-
-    out = []
-    for num, den in fractions:
-        lo, rem = divmod(num * (n - 1), den)
-        a = at(lo + 1)
-        if rem:
-            b = at(min(lo + 2, n))
-            out.append(a + (b - a) * rem / den)
-        else:
-            out.append(a)
-    return out
+def quantile_edges(df: DataFrame, col: str, fractions: Sequence[tuple[int, int]],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Exact PERCENTILE_CONT at fractions given as (numerator, denominator): one row with ``edges``
+    (array of doubles in the order of ``fractions``; null if there is no value).
+
+    Values are counted first (a hash aggregate with map-side combining), the counts are summed in
+    value order over range partitions, and one aggregate picks the two neighbours of each position.
+    Positions are computed in integer arithmetic, so there is no float error in where an edge falls.
+    Nothing reaches the driver; use it as a one-row subquery."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    cum = sequence(counts, [("_v", True)], row_number=None, running={"_upto": "_c"}, num_partitions=num_partitions)
+    cum = cum.withColumn("_n", cum.agg(F.max("_upto")).scalar())
+    picks = []
+    for i, (num, den) in enumerate(fractions):
+        low = F.expr(f"({num} * (_n - 1)) div {den}")       # 0-based position
+        for name, rank in (("lo", low + 1), ("hi", F.least(low + 2, F.col("_n")))):
+            here = (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
+            picks.append(F.max(F.when(here, F.col("_v").cast("double"))).alias(f"{name}{i}"))
+    one = cum.agg(F.max("_n").alias("_n"), *picks)
+    edges = [F.col(f"lo{i}") + F.coalesce((F.col(f"hi{i}") - F.col(f"lo{i}")) * F.expr(f"({num} * (_n - 1)) % {den}") / den,
+                                          F.lit(0.0)) for i, (num, den) in enumerate(fractions)]
+    return one.select(F.when(F.col("_n").isNotNull(), F.array(*edges)).alias("edges"))
 
 
 def quantile_bins(df: DataFrame, col: str, k: int, out: str, tiebreak: str, method: str = "value",
-                  labels: Sequence | None = None, on_duplicate_edges: str = "raise",
-                  small_domain: bool = False) -> DataFrame:
+                  labels: Sequence | None = None, on_duplicate_edges: str = "raise") -> DataFrame:
     """W10, pandas ``qcut(x, k)``: equal-frequency bins with linearly interpolated, right-closed
     edges (the lowest value included). ``method="value"`` bins the values themselves;
     ``method="first"`` bins their first-come rank (``rank(method="first")``, ties broken by
-    ``tiebreak``). ``labels`` default to 1..k. Duplicate edges raise, as in pandas, unless
-    ``on_duplicate_edges="merge"``. ``small_domain`` takes the edges from a value histogram
-    (for whole-day counts and similar columns with few distinct values)."""
+    ``tiebreak``). ``labels`` default to 1..k. Duplicate edges fail the query when it runs, as pandas
+    raises, unless ``on_duplicate_edges="drop"``: equal edges, the outer ones too, count once, and
+    the bins left take the first labels."""
     labels = list(labels) if labels is not None else list(range(1, k + 1))
     if len(labels) != k:
         raise ValueError("need one label per bin")
+    named = F.array(*[F.lit(x) for x in labels])
     if method == "first":
         ranked = sequence(df, [(col, True), (tiebreak, True)], row_number="_qb_rn", with_total="_qb_n")
-        b = qcut_rank_bin("_qb_rn", "_qb_n", k)
-        expr = None
-        for i, lab in enumerate(labels, start=1):
-            expr = F.when(b == i, F.lit(lab)) if expr is None else expr.when(b == i, F.lit(lab))
-        return ranked.withColumn(out, expr).drop("_qb_rn", "_qb_n")
+        return ranked.withColumn(out, F.get(named, qcut_rank_bin("_qb_rn", "_qb_n", k) - 1)).drop("_qb_rn", "_qb_n")
     if method != "value":
         raise ValueError(f"unknown method {method!r}")
-    fractions = [(i, k) for i in range(k + 1)]
-    edges = (exact_quantiles_by_histogram(df, col, fractions, tiebreak) if small_domain
-             else exact_quantiles(df, col, fractions, tiebreak))
-    if edges[0] is None:
-        return df.withColumn(out, F.lit(None))
-    if len(set(edges)) < len(edges):
-        if on_duplicate_edges == "raise":
-            raise ValueError(f"Bin edges must be unique: {edges}")
-        if on_duplicate_edges != "merge":
-            raise ValueError(f"unknown on_duplicate_edges={on_duplicate_edges!r}")
-    inner = sorted(set(edges[1:-1])) if on_duplicate_edges == "merge" else edges[1:-1]
-    expr = None
-    for lab, e in zip(labels, inner):
-        cond = F.col(col) <= F.lit(float(e))
-        expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
-    last = F.lit(labels[len(inner)])
-    return df.withColumn(out, F.when(F.col(col).isNull(), F.lit(None)).otherwise(
-        expr.otherwise(last) if expr is not None else last))
+    if on_duplicate_edges not in ("raise", "drop"):
+        raise ValueError(f"unknown on_duplicate_edges={on_duplicate_edges!r}")
+    edges = quantile_edges(df, col, [(i, k) for i in range(k + 1)])
+    if on_duplicate_edges == "raise":
+        unique = F.size(F.array_distinct("edges")) == F.size("edges")
+        edges = edges.select(F.when(F.col("edges").isNull() | unique, F.col("edges")).otherwise(F.raise_error(F.concat(
+            F.lit("Bin edges must be unique: "), F.col("edges").cast("string")))).alias("edges"))
+    # The number of distinct edges below the value is its bin; the lowest value is in the first.
+    joined = df.withColumn("_qb_e", edges.select(F.array_distinct("edges")).scalar())
+    below = F.size(F.filter("_qb_e", lambda e: e < F.col(col).cast("double")))
+    label = F.get(named, F.greatest(below, F.lit(1)) - 1)
+    return joined.withColumn(out, F.when(F.col(col).isNotNull(), label)).drop("_qb_e")
 
 
 def top_k(df: DataFrame, order: Order, k: int) -> DataFrame:

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFERENCE_CATEGORY_RULES,
                                           REFERENCE_REGION_RULES, classify, region_from_table, region_of)
-from tillsight.operators.clean import DEFAULT_ORDER, clean
+from tillsight.operators.clean import clean
 from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
-from tillsight.operators.joins import skew_safe_join
+from tillsight.operators.joins import lookup_join
 from tillsight.operators.keys import APPEARANCE, first_seen, surrogate_key
 from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
@@ -34,6 +34,7 @@ class Star:
     fact_sales: DataFrame
     extras: dict = field(default_factory=dict)
     fact_orders: DataFrame | None = None
+    snapshot: str = SNAPSHOT
 
     def tables(self) -> dict[str, DataFrame]:
         return {"dim_customer": self.dim_customer, "dim_product": self.dim_product,
@@ -44,7 +45,7 @@ class Star:
 @dataclass
 class StarConfig:
     snapshot: str = SNAPSHOT
-    dedup_order: Sequence[str] = tuple(DEFAULT_ORDER)
+    dedup_order: Sequence[str] | None = None          # clean.DEFAULT_ORDER
     category_rules: Sequence = tuple(REFERENCE_CATEGORY_RULES)
     region_rules: Sequence = tuple(REFERENCE_REGION_RULES)
     region_table: DataFrame | None = None
@@ -106,16 +107,19 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
 
 
 def fact_sales(lines: DataFrame, dc: DataFrame, dp: DataFrame, dl: DataFrame) -> DataFrame:
-    """Lines with the three dimension keys (date key is computed) and the measures."""
+    """Lines with the three dimension keys (date key is computed) and the measures, at the source's
+    precision. The product join is paid here, so the product's category comes along with its key and no
+    mart has to join the lines with the products again."""
     # Null-safe keys: a null stock code survives cleaning and must find its own product row.
-    loc = F.broadcast(dl.select(F.col("country").alias("_loc_nat"), "location_key"))
-    f = skew_safe_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"], how="left")
-    f = skew_safe_join(f, dp.select("product_id", "product_key"), ["stock_code"], ["product_id"],
-                       how="left", null_safe=True)
+    # Locations are one row per distinct country text; Spark broadcasts them by their measured size.
+    loc = dl.select(F.col("country").alias("_loc_nat"), "location_key")
+    f = lookup_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"])
+    f = lookup_join(f, dp.select("product_id", "product_key", "category"), ["stock_code"], ["product_id"],
+                    null_safe=True)
     f = f.join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left")
     return f.select(F.col("invoice").alias("invoice_id"), "customer_key", "product_key", "date_key",
-                    "location_key", "quantity", F.col("price").cast("decimal(18,2)").alias("unit_price"),
-                    "revenue", "discount", "profit", "order_value")
+                    "location_key", "quantity", F.col("price").alias("unit_price"),
+                    "revenue", "discount", "profit", "order_value", "category")
 
 
 def order_grain(fact: DataFrame) -> DataFrame:
@@ -151,4 +155,5 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
         dc, dp, dl = materialize(dc, "dim_customer"), materialize(dp, "dim_product"), materialize(dl, "dim_location")
     dd = dim_date(lines)
     fact = fact_sales(lines, dc, dp, dl)
-    return Star(dc, dp, dd, dl, fact, extras={"cleaned": cleaned, "lines": lines, "scored": scored})
+    return Star(dc, dp, dd, dl, fact, extras={"cleaned": cleaned, "lines": lines, "scored": scored},
+                snapshot=cfg.snapshot)

@@ -49,6 +49,34 @@ def money(expr: str, n: int = 2) -> str:
     return f"CAST(round({expr}, {n}) AS DOUBLE)"
 
 
+def day_of(key: str) -> str:
+    """Calendar day of a YYYYMMDD key."""
+    return f"make_date({key} // 10000, {key} // 100 % 100, {key} % 100)"
+
+
+def month_name_of(ym: str) -> str:
+    """Name of a YYYYMM month."""
+    return f"monthname(make_date({ym} // 100, {ym} % 100, 1))"
+
+
+def tile(rn: str, n: str, k: int) -> str:
+    """NTILE(k) from a row number and the row count: the first n mod k tiles have one row more."""
+    small, more = f"({n} // {k})", f"({n} % {k})"
+    return (f"CASE WHEN {rn} <= {more} * ({small} + 1) THEN ({rn} - 1) // ({small} + 1) + 1"
+            f" ELSE {more} + ({rn} - 1 - {more} * ({small} + 1)) // {small} + 1 END")
+
+
+# The segment and churn rules as SQL text.
+SEGMENT = """CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'VIP'
+              WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal'
+              WHEN r_score >= 4 AND f_score <= 2 THEN 'New'
+              WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
+              WHEN r_score = 1 THEN 'Lost'
+              ELSE 'Potential' END"""
+CHURN = """CASE WHEN recency_days > 180 THEN 'Churned' WHEN recency_days > 90 THEN 'High Risk'
+              WHEN recency_days > 60 THEN 'Medium Risk' WHEN recency_days > 30 THEN 'Low Risk' ELSE 'Active' END"""
+
+
 def _category_case(x: str) -> str:
     parts = []
     for label, words in TESTDATA_CATEGORY_RULES:
@@ -147,12 +175,7 @@ scored AS (
 ),
 segmented AS (
   SELECT *, r_score + f_score + m_score AS rfm_score,
-         CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'VIP'
-              WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal'
-              WHEN r_score >= 4 AND f_score <= 2 THEN 'New'
-              WHEN r_score <= 2 AND f_score >= 3 THEN 'At Risk'
-              WHEN r_score = 1 THEN 'Lost'
-              ELSE 'Potential' END AS segment
+         {SEGMENT} AS segment
   FROM scored
 ),
 dim_customer AS (

@@ -15,8 +15,11 @@ from tillsight.operators.enrich import attach_rfm, enrich_money, with_date_parts
 from tillsight.operators.quality import key_integrity, profile, sanity_top5, table_counts
 from tillsight.oracle import sql as O
 from tillsight.plans.common import bigint_cols
-from tillsight.schemas import RAW_COLUMNS
+from tillsight.session import scratch_path
+from tillsight.sources.raw import read_transactions, write_table
+from tillsight.schemas import FACT_SALES_COLUMNS, RAW_COLUMNS
 
+PART_YEAR = 1998
 _DEDUP = ("line_no", "quantity", "price")
 _LINE_COLS = ["invoice", "stock_code", "description", "quantity", "invoice_ts", "price", "customer_id",
               "country", "line_no"]
@@ -75,7 +78,8 @@ def etl_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _table(name):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return bigint_cols(getattr(warehouse.star(spark, sf_dir), name))
+        df = getattr(warehouse.star(spark, sf_dir), name)
+        return bigint_cols(df.select(*FACT_SALES_COLUMNS) if name == "fact_sales" else df)
     run.__name__ = name
     return run
 
@@ -107,7 +111,20 @@ def q_clean_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_accounting(warehouse.raw(spark, sf_dir), _DEDUP)
 
 
+def etl_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines written as two parts (the later years first), read back by
+    column name and concatenated in the order given."""
+    raw = warehouse.raw(spark, sf_dir).select(*RAW_COLUMNS)
+    late = F.year("invoice_ts") >= PART_YEAR
+    paths = {}
+    for name, rows in (("late", late), ("early", ~late)):
+        paths[name] = scratch_path(spark, f"part-{name}")
+        write_table(raw.where(rows), paths[name])
+    return bigint_cols(read_transactions(spark, paths).select("source", "part_no", *_LINE_COLS))
+
+
 QUERIES = {
+    "etl_multi_part": etl_multi_part,
     "etl_clean": etl_clean,
     "etl_enrich_money": etl_enrich_money,
     "etl_date_parts": etl_date_parts,
@@ -133,6 +150,11 @@ _D = lambda c: f"CAST({c} AS DOUBLE) AS {c}"
 _CODES = ", ".join(f"'{c}'" for c in ["POST", "D", "M", "BANK CHARGES", "PADS", "DOT", "CRUK"])
 
 ORACLE = {
+    "etl_multi_part": O.with_prelude(f"""
+SELECT CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 'late' ELSE 'early' END AS source,
+       CAST(CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 0 ELSE 1 END AS BIGINT) AS part_no,
+       invoice, stock_code, description, {_IB('quantity')}, invoice_ts, {_D('price')}, customer_id, country, line_no
+FROM raw"""),
     "etl_clean": O.with_prelude(f"""
 SELECT invoice, stock_code, description, {_IB('quantity')}, invoice_ts, {_D('price')}, customer_id, country, line_no
 FROM cleaned"""),

@@ -137,35 +137,29 @@ _FD = "FROM fact_sales f JOIN dim_date d ON f.date_key = d.date_key"
 
 ORACLE = {
     "monthly_growth": O.with_prelude(f"""
-SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, month_name, order_count, unique_customers,
-       CAST(total_revenue AS DOUBLE) AS total_revenue, total_profit, avg_order_value,
-       CAST(LAG(total_revenue) OVER (PARTITION BY month ORDER BY year) AS DOUBLE) AS prev_year_revenue,
-       {O.growth('total_revenue', 'LAG(total_revenue) OVER (PARTITION BY month ORDER BY year)')} AS yoy_growth_pct,
-       CAST(LAG(total_revenue) OVER (ORDER BY year, month) AS DOUBLE) AS prev_month_revenue,
-       {O.growth('total_revenue', 'LAG(total_revenue) OVER (ORDER BY year, month)')} AS mom_growth_pct,
-       CAST(SUM(total_revenue) OVER (PARTITION BY year ORDER BY month
-            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS ytd_revenue
-FROM monthly_revenue ORDER BY year, month""", f"""
-monthly_revenue AS (
-  SELECT d.year, d.month, d.month_name,
-         count(DISTINCT f.invoice_id) AS order_count, count(DISTINCT f.customer_key) AS unique_customers,
-         round(sum(f.revenue), 2) AS total_revenue, {O.money('sum(f.profit)')} AS total_profit,
-         {O.avg('f.order_value', 2)} AS avg_order_value
-  {_FD} GROUP BY d.year, d.month, d.month_name)"""),
+SELECT CAST(ym // 100 AS BIGINT) AS year, CAST(ym % 100 AS BIGINT) AS month, {O.month_name_of('ym')} AS month_name,
+       orders AS order_count, buyers AS unique_customers, CAST(rev AS DOUBLE) AS total_revenue, gain AS total_profit,
+       basket AS avg_order_value, CAST(earlier AS DOUBLE) AS prev_year_revenue, {O.growth('rev', 'earlier')} AS yoy_growth_pct,
+       CAST(last AS DOUBLE) AS prev_month_revenue, {O.growth('rev', 'last')} AS mom_growth_pct, CAST(ytd AS DOUBLE) AS ytd_revenue
+FROM (SELECT a.*, (SELECT arg_max(b.rev, b.ym) FROM months b WHERE b.ym < a.ym AND b.ym % 100 = a.ym % 100) AS earlier,
+             (SELECT arg_max(b.rev, b.ym) FROM months b WHERE b.ym < a.ym) AS last,
+             (SELECT sum(b.rev) FROM months b WHERE b.ym <= a.ym AND b.ym // 100 = a.ym // 100) AS ytd FROM months a)
+ORDER BY ym""", f"""
+months AS (
+  SELECT date_key // 100 AS ym, count(DISTINCT invoice_id) AS orders, count(DISTINCT customer_key) AS buyers,
+         sum(revenue) AS rev, {O.money('sum(profit)')} AS gain, {O.avg('order_value', 2)} AS basket FROM fact_sales GROUP BY 1)"""),
 
     "annual_summary": O.with_prelude(f"""
-SELECT CAST(year AS BIGINT) AS year, total_orders, total_customers, CAST(total_revenue AS DOUBLE) AS total_revenue,
-       CAST(total_profit AS DOUBLE) AS total_profit, avg_order_value, revenue_per_customer,
-       CAST(LAG(total_revenue) OVER (ORDER BY year) AS DOUBLE) AS prev_year_revenue,
-       {O.growth('total_revenue', 'LAG(total_revenue) OVER (ORDER BY year)')} AS yoy_growth_pct,
-       CAST(LEAD(total_revenue) OVER (ORDER BY year) AS DOUBLE) AS next_year_revenue
-FROM annual ORDER BY year""", f"""
-annual AS (
-  SELECT d.year, count(DISTINCT f.invoice_id) AS total_orders, count(DISTINCT f.customer_key) AS total_customers,
-         round(sum(f.revenue), 2) AS total_revenue, round(sum(f.profit), 2) AS total_profit,
-         {O.avg('f.order_value', 2)} AS avg_order_value,
-         {O.r('CAST(sum(f.revenue) AS DOUBLE) / count(DISTINCT f.customer_key)', 2)} AS revenue_per_customer
-  {_FD} GROUP BY d.year)"""),
+SELECT CAST(a.y AS BIGINT) AS year, a.orders AS total_orders, a.buyers AS total_customers, CAST(a.rev AS DOUBLE) AS total_revenue,
+       CAST(a.gain AS DOUBLE) AS total_profit, a.basket AS avg_order_value, a.each AS revenue_per_customer,
+       CAST(b.rev AS DOUBLE) AS prev_year_revenue, {O.growth('a.rev', 'b.rev')} AS yoy_growth_pct,
+       CAST(z.rev AS DOUBLE) AS next_year_revenue
+FROM years a LEFT JOIN years b ON b.y = (SELECT max(y) FROM years c WHERE c.y < a.y)
+LEFT JOIN years z ON z.y = (SELECT min(y) FROM years c WHERE c.y > a.y) ORDER BY a.y""", f"""
+years AS (
+  SELECT date_key // 10000 AS y, count(DISTINCT invoice_id) AS orders, count(DISTINCT customer_key) AS buyers,
+         sum(revenue) AS rev, sum(profit) AS gain, {O.avg('order_value', 2)} AS basket,
+         {O.ratio('sum(revenue)', 'count(DISTINCT customer_key)', 2)} AS each FROM fact_sales GROUP BY 1)"""),
 
     "quarterly": O.with_prelude(f"""
 SELECT CAST(d.year AS BIGINT) AS year, CAST(d.quarter AS BIGINT) AS quarter,

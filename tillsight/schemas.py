@@ -13,8 +13,12 @@ RAW_TRANSACTIONS = T.StructType([
     T.StructField("country", T.StringType(), True),
     T.StructField("line_no", T.LongType(), True),
 ])
-"""Raw line. ``line_no`` is the source ordinal (the position of the line in its part); it decides
-which duplicate is "first". ``source`` (the part name) is added by the reader."""
+"""Raw line. ``line_no`` is the source ordinal (the position of the line in its part); with the part's
+number it decides which duplicate is "first". ``source`` and ``part_no`` are added by the reader."""
+
+# How the source spells its columns (compared in lower case).
+SOURCE_HEADERS = {"invoice": "invoice", "stockcode": "stock_code", "description": "description", "quantity": "quantity",
+                  "invoicedate": "invoice_ts", "price": "price", "customer id": "customer_id", "country": "country"}
 
 RAW_COLUMNS = [f.name for f in RAW_TRANSACTIONS.fields]
 

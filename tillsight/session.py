@@ -48,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         conf = tempfile.mkdtemp(prefix="tillsight-ckpt-", dir=os.environ.get("TILLSIGHT_TMP", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf)

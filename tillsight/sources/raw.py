@@ -1,4 +1,11 @@
-"""Raw invoice-line sources (X1, X2 lives in operators.quality, X3, X4, U2)."""
+"""Raw invoice-line sources (X1, X2 lives in operators.quality, X3, X4, U2).
+
+Columns are found by header name, as the source spells them or as the library does. A line's place in its
+part (``line_no``) is taken from the source where it has such a column. Otherwise it is the row's
+position in the scan: exact for a part of one file (its splits are read in order); a part of
+several files, whose order Spark does not promise, needs a ``line_no`` column of its own.
+``part_no`` numbers the parts in the order given, so "first" means first in (part_no, line_no).
+"""
 
 from __future__ import annotations
 
@@ -7,20 +14,34 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.schemas import RAW_COLUMNS, RAW_TRANSACTIONS
+from tillsight.schemas import RAW_COLUMNS, RAW_TRANSACTIONS, SOURCE_HEADERS
+from tillsight.sources.sinks import checked_write
 
 
 def read_part(spark: SparkSession, path: str, fmt: str = "parquet", options: Mapping | None = None) -> DataFrame:
-    """Read one part with the fixed raw schema (X4: ids as strings, timestamp parsed)."""
-    reader = spark.read.schema(RAW_TRANSACTIONS)
-    if fmt == "csv":
-        # Spark's default timestamp parsing takes both "2010-12-01 08:26:00" and ISO "…T…" text;
-        # pass "timestampNTZFormat" in ``options`` for anything else. FAILFAST: a value that does
-        # not parse is an error, not a silent null.
+    """Read one part and give it the fixed raw schema (X4: ids as strings, timestamp parsed). A value
+    that does not fit its column's type is an error, not a silent null."""
+    reader = spark.read
+    if fmt == "csv":       # every field as text; the casts below are strict
         reader = reader.option("header", "true").option("mode", "FAILFAST")
-    reader = reader.options(**(options or {}))
-    df = reader.format(fmt).load(path).select(*RAW_COLUMNS)
-    return df.withColumn("customer_id", canonical_id("customer_id"))
+    df = reader.options(**(options or {})).format(fmt).load(path)
+    return normalise(df)
+
+
+def normalise(df: DataFrame) -> DataFrame:
+    """Columns by name (the source's headers or the library's own), cast to the raw schema."""
+    own = {SOURCE_HEADERS.get(c.strip().lower(), c.strip().lower()): c for c in df.columns}
+    missing = [c for c in RAW_COLUMNS if c not in own and c != "line_no"]
+    if missing:
+        raise ValueError(f"columns not found: {', '.join(missing)}; there are {', '.join(df.columns)}")
+    out = []
+    for f in RAW_TRANSACTIONS.fields:
+        if f.name == "line_no" and "line_no" not in own:
+            col = F.monotonically_increasing_id()
+        else:
+            col = F.col(f"`{own[f.name]}`").cast(f.dataType)       # ANSI: a bad value fails the query
+        out.append(col.alias(f.name))
+    return df.select(*out).withColumn("customer_id", canonical_id("customer_id"))
 
 
 def canonical_id(c: str):
@@ -30,10 +51,11 @@ def canonical_id(c: str):
 
 
 def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
-    """Concatenate parts, each tagged with its origin in ``source`` (the reference's sheet)."""
+    """Concatenate parts in the order given, each tagged with its origin in ``source`` (the
+    reference's sheet) and its number in ``part_no``."""
     out = None
-    for name, df in parts.items():
-        tagged = df.select(*RAW_COLUMNS).withColumn("source", F.lit(name))
+    for i, (name, df) in enumerate(parts.items()):
+        tagged = df.select(*RAW_COLUMNS).withColumns({"source": F.lit(name), "part_no": F.lit(i)})
         out = tagged if out is None else out.unionByName(tagged)
     if out is None:
         raise ValueError("no parts given")
@@ -42,15 +64,10 @@ def union_parts(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 def read_transactions(spark: SparkSession, parts: Mapping[str, str], fmt: str = "parquet",
                       options: Mapping | None = None) -> DataFrame:
-    """Read N parts (e.g. yearly files), tag each with its name, concatenate."""
+    """Read N parts (e.g. yearly files), tag each with its name and number, concatenate."""
     return union_parts({name: read_part(spark, path, fmt, options) for name, path in parts.items()})
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Persist a table (full replace)."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w = w.option("header", "true")
-    w.save(path)
+    checked_write(df, path, fmt, partition_by)

@@ -2,56 +2,105 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight.schemas import STAR_TABLES
 
-# Dimensions before the fact, as the reference loads them (foreign keys point at dimensions).
-LOAD_ORDER = ["dim_customer", "dim_product", "dim_date", "dim_location", "fact_sales"]
+# Dimensions before the fact, as the reference loads them (foreign keys point at dimensions). The order
+# grain comes last and is replaced with the fact, so the two never disagree.
+LOAD_ORDER = [*STAR_TABLES, "fact_orders"]
 
 
 def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Range-partition by (date_key, customer_key) and sort within each file, so Parquet
-    min/max statistics prune date and customer predicates (the warehouse's CLUSTER BY)."""
+    min/max statistics prune date and customer predicates (the warehouse's CLUSTER BY). Invoice and
+    product follow as range keys, so one customer's busy day can be split as well."""
     n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return fact.repartitionByRange(n, "date_key", "customer_key").sortWithinPartitions("date_key", "customer_key")
+    keys = ["date_key", "customer_key", "invoice_id", "product_key"]
+    return fact.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
-              partition_fact_by_month: bool = False, cluster: bool = True,
-              max_records_per_file: int = 20_000_000) -> dict[str, str]:
-    """X5 + X6: write the five tables, dimensions first, each a full replace (re-runnable).
-    Files are capped at ``max_records_per_file`` rows, so a range partition of a very large fact
-    becomes several files of bounded size rather than one huge one."""
+def checked_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                  max_records_per_file: int | None = None) -> int:
+    """Write (full replace), read back and compare the row counts; returns the count."""
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    writer.save(path)
+    reader = df.sparkSession.read.schema(df.schema)
+    written, found = seen.get["n"], (reader.option("header", "true") if fmt == "csv" else reader).format(fmt).load(path).count()
+    if written != found:
+        raise RuntimeError(f"{path}: {written} rows written, {found} read back")
+    return written
+
+
+def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet", partition_fact_by_month: bool = False,
+              cluster: bool = True, max_records_per_file: int | None = None, snapshot: str | None = None) -> dict[str, str]:
+    """X5 + X6: write the star, dimensions first, each a full replace (re-runnable), with its counts
+    checked after the write. The order grain is aggregated from the fact as written; ``snapshot`` is kept
+    beside the tables. CSV files have a header, and the schema is stored for reading them back."""
+    from tillsight.operators.star import order_grain
+
+    path = path.rstrip("/")
     out = {}
+    spark = next(iter(tables.values())).sparkSession
     for name in LOAD_ORDER:
-        df = tables[name]
-        target = f"{path.rstrip('/')}/{name}"
-        w_df = df
-        part = None
+        target, part = f"{path}/{name}", None
+        if name == "fact_orders":
+            df = order_grain(load_table(spark, path, "fact_sales", fmt))
+        else:
+            df = tables[name]
         if name == "fact_sales":
-            if cluster:
-                w_df = cluster_fact(df)
+            df = cluster_fact(df) if cluster else df
             if partition_fact_by_month:
-                w_df = w_df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
+                df = df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
                 part = ["year_month"]
-        writer = w_df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", max_records_per_file)
-        if part:
-            writer = writer.partitionBy(*part)
         if fmt == "csv":
-            writer = writer.option("header", "true")
-        writer.save(target)
+            schema = df.drop("year_month").schema.json()
+            spark.createDataFrame([(schema,)], "schema string").coalesce(1).write.mode("overwrite").json(f"{target}.schema")
+        checked_write(df, target, fmt, part, max_records_per_file)
         out[name] = target
+    if snapshot:
+        spark.createDataFrame([(snapshot,)], "snapshot string").write.mode("overwrite").json(f"{path}/star_info")
     return out
 
 
+def load_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """One table of a saved star."""
+    target = f"{path.rstrip('/')}/{name}"
+    reader = spark.read
+    if fmt == "csv":
+        schema = T.StructType.fromJson(json.loads(spark.read.json(f"{target}.schema").first()["schema"]))
+        reader = reader.schema(schema).option("header", "true").option("mode", "FAILFAST")
+    df = reader.format(fmt).load(target)
+    return df.drop("year_month") if "year_month" in df.columns else df
+
+
 def load_star(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Read the five tables back (the marts' input)."""
-    out = {}
-    for name in STAR_TABLES:
-        df = spark.read.format(fmt).load(f"{path.rstrip('/')}/{name}")
-        out[name] = df.drop("year_month") if "year_month" in df.columns else df
+    """Read the star's tables back (the marts' input); ``fact_orders`` is among them if it was saved."""
+    out = {name: load_table(spark, path, name, fmt) for name in STAR_TABLES}
+    if exists(spark, f"{path.rstrip('/')}/fact_orders"):
+        out["fact_orders"] = load_table(spark, path, "fact_orders", fmt)
     return out
+
+
+def saved_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The snapshot date that a saved star was built with, if it was stored."""
+    where = f"{path.rstrip('/')}/star_info"
+    return spark.read.json(where).first()["snapshot"] if exists(spark, where) else None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system the session reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))

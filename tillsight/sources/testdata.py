@@ -24,7 +24,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw invoice lines with the schema of ``schemas.RAW_TRANSACTIONS`` plus ``source``."""
+    """Raw invoice lines with the schema of ``schemas.RAW_TRANSACTIONS`` plus ``source`` and ``part_no``."""
     li = _t(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -49,7 +49,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("n_name").alias("country"),
         F.col("l_linenumber").cast("long").alias("line_no"),
-    ).select(*RAW_COLUMNS).withColumn("source", F.lit(SOURCE_NAME))
+    ).select(*RAW_COLUMNS).withColumns({"source": F.lit(SOURCE_NAME), "part_no": F.lit(0)})
 
 
 def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:

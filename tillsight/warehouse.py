@@ -11,7 +11,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.operators.star import Star, StarConfig, build_star, order_grain
+from tillsight.operators.star import Star, StarConfig, build_star
 from tillsight.session import scratch_path
 from tillsight.sources import testdata
 from tillsight.sources.sinks import load_star, save_star
@@ -42,8 +42,9 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = _RAW.get(key)
         if df is None:
             path = scratch_path(spark, "raw")
-            testdata.raw_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
-            df = _RAW[key] = spark.read.parquet(path)
+            lines = testdata.raw_lines(spark, sf_dir)
+            lines.write.mode("overwrite").parquet(path)
+            df = _RAW[key] = spark.read.schema(lines.schema).parquet(path)
     return df
 
 
@@ -59,16 +60,14 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         if entry is None:
             built = build_star(raw(spark, sf_dir), testdata_config(spark, sf_dir))
             path = scratch_path(spark, "star")
-            save_star(built.tables(), path)
-            # Marts read the order grain whole, so it is written as aggregated (no range clustering).
-            order_grain(spark.read.parquet(f"{path}/fact_sales")).write.mode("overwrite").parquet(f"{path}/fact_orders")
+            save_star(built.tables(), path, snapshot=built.snapshot)
             # DataFrames are immutable plans: read the tables once and hand the same frames to
             # every mart (file listing and footers are read once per session, not per query).
             t = load_star(spark, path)
             entry = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
                          extras={"cleaned": built.extras["cleaned"], "lines": built.extras["lines"],
                                  "scored": built.extras["scored"], "path": path},
-                         fact_orders=spark.read.parquet(f"{path}/fact_orders"))
+                         fact_orders=t["fact_orders"], snapshot=built.snapshot)
             _CACHE[key] = entry
     return entry
 
