@@ -43,3 +43,32 @@ def test_scan_reads_only_needed_columns(spark):
 def _explain(df) -> str:
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_lines_are_never_joined_with_products(spark):
+    """Even where no dimension is small enough to broadcast, the fact's category is at hand."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("category_summary", "category_trend"):
+            plan = _plan(E.queries()[key](spark, SF001))
+            assert "Expand" not in plan, key
+            joins = re.findall(r"Join \[product_key#.*\n(?:.*\n){0,4}", plan)
+            # The only join with the products takes distinct (category, product) pairs.
+            assert all("HashAggregate(keys=[category" in j for j in joins) and len(joins) <= (key == "category_summary"), joins
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_milestones_and_repeat_rate_do_not_expand(spark):
+    for key in ("cohort_milestones", "repeat_rate"):
+        assert "Expand" not in _plan(E.queries()[key](spark, SF001)), key
+
+
+def test_invoice_grain_is_a_hash_aggregate(spark):
+    from tillsight import warehouse
+    from tillsight.operators.keys import invoice_grain
+
+    lines = warehouse.star(spark, SF001).extras["lines"]
+    plan = _plan(invoice_grain(lines, "customer_id", "country"))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -46,7 +46,6 @@ DEFAULT_REGION = "Other"
 # Fixed values (must equal the reference): churn bands on recency days.
 CHURN_ORDER = ["Churned", "High Risk", "Medium Risk", "Low Risk", "Active"]
 
-SEGMENTS = ["VIP", "Loyal", "New", "At Risk", "Lost", "Potential"]
 
 
 def _c(c):
@@ -92,10 +91,10 @@ def region_of(country: Column | str, rules: Sequence[tuple[str, Sequence[str]]]
 
 def region_from_table(df: DataFrame, country_col: str, mapping: DataFrame,
                       default: str = DEFAULT_REGION) -> DataFrame:
-    """Region by lookup in a (country, region) table. The table has one row per country, a
-    bounded size, so it is broadcast."""
+    """Region by lookup in a (country, region) table with one row per country; Spark broadcasts it
+    where its size allows."""
     m = mapping.select(F.col("country").alias("_m_country"), F.col("region").alias("_m_region"))
-    return (df.join(F.broadcast(m), F.col(country_col).eqNullSafe(F.col("_m_country")), "left")
+    return (df.join(m, F.col(country_col).eqNullSafe(F.col("_m_country")), "left")
               .withColumn("region", F.coalesce(F.col("_m_region"), F.lit(default)))
               .drop("_m_country", "_m_region"))
 

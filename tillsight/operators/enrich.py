@@ -14,7 +14,7 @@ from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
 from tillsight.operators.joins import lookup_join
-from tillsight.operators.keys import part_of
+from tillsight.operators.keys import invoice_grain, part_of
 from tillsight.operators.ranking import quantile_bins
 
 MARGIN = 0.4            # fixed value: assumed profit margin
@@ -41,13 +41,14 @@ def with_date_parts(df: DataFrame, ts: str = "invoice_ts") -> DataFrame:
 
 
 def rfm(df: DataFrame, snapshot=SNAPSHOT) -> DataFrame:
-    """T4 + first-appearance attributes, one aggregation per customer.
+    """T4 + first-appearance attributes: lines to invoices (hash aggregate), invoices to customers.
 
     recency = whole days from the last purchase to the snapshot; frequency = distinct invoices;
     monetary = Σ revenue (exact decimal). ``first_*`` come from the customer's first line in the
     appearance order (timestamp, invoice, line) and give the dimension's country and key order.
     """
     first = F.min(F.struct("invoice_ts", "invoice", part_of(df), "line_no", "country")).alias("_first")
+    df = invoice_grain(df, "customer_id", "country")
     agg = df.groupBy("customer_id").agg(
         F.max("invoice_ts").alias("last_purchase"),
         F.count_distinct("invoice").alias("frequency"),

@@ -25,6 +25,14 @@ def part_of(df: DataFrame) -> Column:
     return (F.col("part_no") if "part_no" in df.columns else F.lit(0)).alias("part_no")
 
 
+def invoice_grain(df: DataFrame, *keys: str) -> DataFrame:
+    """Lines summed to one row per (keys, invoice, timestamp, part): first line number and revenue. A hash
+    aggregate (its buffers are numbers), combined map-side; what needs the first line of an entity
+    then orders invoices instead of lines."""
+    return df.groupBy(*keys, "invoice", "invoice_ts", part_of(df)).agg(
+        F.min("line_no").alias("line_no"), F.sum("revenue").alias("revenue"))
+
+
 def first_seen(df: DataFrame, natural: str, carry: list[str] | None = None) -> DataFrame:
     """One row per natural key with its first line's (timestamp, invoice, line) and carried
     attributes taken from that same line."""

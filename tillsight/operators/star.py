@@ -20,7 +20,7 @@ from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFE
 from tillsight.operators.clean import clean
 from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
 from tillsight.operators.joins import lookup_join
-from tillsight.operators.keys import APPEARANCE, first_seen, surrogate_key
+from tillsight.operators.keys import APPEARANCE, first_seen, invoice_grain, surrogate_key
 from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
 
@@ -93,7 +93,7 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
                  key_mode: str = "dense") -> DataFrame:
     """One row per country (bounded by the number of countries), region by T15 rules or by a
     lookup table. Numbering in first-appearance order over this bounded set."""
-    ent = first_seen(lines, "country")
+    ent = first_seen(invoice_grain(lines, "country"), "country")
     if key_mode == "hash":
         keyed = ent.withColumn("location_key", F.xxhash64("country"))
     else:

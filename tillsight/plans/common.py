@@ -1,8 +1,9 @@
 """Shared pieces of the marts: dimension joins and the measures the reference repeats.
 
-Join policy: ``dim_date`` (one row per calendar day of the span) and ``dim_location`` (one row
-per country) have sizes bounded by the calendar and the map, so they are broadcast and the fact
-is never shuffled to meet them. ``dim_customer`` and ``dim_product`` grow with the data: marts
+Join policy: ``dim_date`` (one row per calendar day of the span) is bounded by the calendar, so it is
+broadcast and the fact is never shuffled to meet it. ``dim_location`` has one row per distinct
+country text, usually few: Spark broadcasts it by its measured size, and joins otherwise.
+``dim_customer`` and ``dim_product`` grow with the data: marts
 first aggregate the fact to customer or product grain and join there, and AQE converts that
 join to a broadcast only when the measured side is under its threshold.
 """
@@ -29,7 +30,7 @@ def with_date(fact: DataFrame, dim_date: DataFrame, *cols: str) -> DataFrame:
 
 
 def with_location(fact: DataFrame, dim_location: DataFrame, *cols: str) -> DataFrame:
-    return fact.join(F.broadcast(dim_location.select("location_key", *cols)), "location_key")
+    return fact.join(dim_location.select("location_key", *cols), "location_key")
 
 
 def with_product(df: DataFrame, dim_product: DataFrame, *cols: str) -> DataFrame:
