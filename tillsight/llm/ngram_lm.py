@@ -46,7 +46,8 @@ SEGMENT_TOKENS = 8_000_000      # training tokens a segment is sized for
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-END = np.uint64(0x5851F42D4C957F2D)
+END = np.uint64(0x5851F42D4C957F2C)
+_ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +62,7 @@ def _powers(n: int) -> np.ndarray:
 
 
 def token_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every token, in order; each text ends in END."""
+    """Hash (an even number) and text number of every token, in order; each text ends in END."""
     buf, offs = buffers(col)
     start, end, text = word_spans(ASCII_LOWER[buf], offs)
     n = len(offs) - 1
@@ -71,7 +72,7 @@ def token_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first = np.cumsum(size) - size
     at = np.arange(int(size.sum())) - np.repeat(first, size)         # place in the word
     byte = ASCII_LOWER[buf[np.repeat(start, size) + at]]
-    h = _mix(np.add.reduceat(_BYTE[byte] * _powers(int(size.max()))[at], first) + size.astype(np.uint64))
+    h = _mix(np.add.reduceat(_BYTE[byte] * _powers(int(size.max()))[at], first) + size.astype(np.uint64)) & ~_ONE
     words = np.bincount(text, minlength=n)
     out = np.full(len(h) + n, END)
     out[np.arange(len(h)) + text] = h
@@ -79,17 +80,20 @@ def token_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pair_hashes(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of (previous token, token) at every position, and whether there is a previous one."""
+    """Key (an odd number) of (previous token, token) at every position, and whether there is a previous
+    one. The lower half of a key is the context's, so that the context of a counted pair is known
+    without being carried along."""
     has = np.zeros(len(h), bool)
     has[1:] = text[1:] == text[:-1]
     out = np.zeros(len(h), np.uint64)
-    out[1:] = _mix(h[:-1] * np.uint64(3) + h[1:] * _STEP)
+    out[1:] = _mix(h[:-1] * np.uint64(3) + h[1:] * _STEP) & ~_LOW | h[:-1] & _LOW | _ONE
     return out, has
 
 
 def _context(h: np.ndarray) -> np.ndarray:
-    """Key of a context's mass."""
-    return _mix(h + np.uint64(0xA5A5A5A5))
+    """Key of a context's mass: the lower half of its pairs' keys, twice."""
+    c = h & _LOW | _ONE
+    return c << np.uint64(32) | c
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -196,27 +200,24 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     fed = docs.where(usable).select(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 0, 32 << 20):
+        for batch in chunks(batches, 0):
             h, at = token_hashes(batch.column(0))
             p, has = pair_hashes(h, at)
-            for kind, keys, context in ((0, h, None), (1, p[has], h[:-1][has[1:]])):
-                u, first, n = np.unique(keys, return_index=True, return_counts=True)
-                c = u if context is None else context[first]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(u), kind, np.int8)), pa.array(u.view(np.int64)),
-                    pa.array((_context(c) if kind else c).view(np.int64)), pa.array(n.astype(np.int32))],
-                    names=["kind", "k", "c", "n"])
-
-    seen = in_arrow(fed, count, "kind tinyint, k bigint, c bigint, n int")
+            for keys in (h, p[has]):
+                u, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "n"])
+
+    seen = in_arrow(fed, count, "k bigint, n bigint")
     # Most pairs occur once in the corpus: they are summed and dropped before anything is stored.
-    # Keys are hashes, so no key decides the load; the context comes along with its pair's key.
-    summed = (seen.groupBy("kind", "k").agg(F.sum("n").alias("n"), F.min("c").alias("c"))
-              .where((F.col("kind") == 0) | (F.col("n") >= min_count)))
-    summed = stored(summed, "lm-counts")
+    # Keys are hashes, so no key decides the load; odd ones are pairs.
+    kind = F.col("k").bitwiseAND(1)
+    summed = seen.groupBy("k").agg(F.sum("n").alias("n")).where((kind == 0) | (F.col("n") >= min_count))
+    summed = stored(summed.select(kind.cast("int").alias("kind"), "k", "n"), "lm-counts")
     total = summed.where("kind = 0").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = int(total["n"] or 0), int(total["v"])
-    mass = (summed.where("kind = 1").groupBy("c").agg(F.sum(F.col("n") - DISCOUNT).alias("m"))
-            .select(F.lit(2).cast("tinyint").alias("kind"), F.col("c").alias("k"),
+    low = F.col("k").bitwiseAND(0xFFFFFFFF)
+    mass = (summed.where("kind = 1").groupBy(low.alias("c")).agg(F.sum(F.col("n") - DISCOUNT).alias("m"))
+            .select(F.lit(2).alias("kind"), F.shiftleft("c", 32).bitwiseOR(F.col("c")).alias("k"),
                     F.ceil("m").cast("bigint").alias("n")))
     n = max(1, -(-tokens // segment_tokens))
     # Segment of a hash: its upper 32 bits times n, shifted down, as segment_of() has it.
