@@ -18,7 +18,6 @@ are predicted alike; other columns pass through.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,6 @@ SAMPLE = 1000          # documents a language, in expectation
 MIN_SHARE = 2e-5
 PROBES = 3
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII bytes that are no letters become blanks; others, parts of non-ASCII letters too, stay.
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -102,7 +100,7 @@ class Filter:
         best = shares.argmax(1)
         top = shares[np.arange(len(best)), best]
         score = np.where(top > 0, top / np.maximum(shares.sum(1), 1e-12), 0.0)
-        known = [t is not None and _LETTER.search(t.decode("utf-8", "replace")) is not None for t in col.to_pylist()]
+        known = [t is not None and any(map(str.isalpha, t.decode("utf-8", "replace"))) for t in col.to_pylist()]
         return ([self.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)],
                 np.where(known, score, 0.0))
 
