@@ -52,6 +52,15 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+BROADCAST_ROWS = 10_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has at most BROADCAST_ROWS rows, else as it is: the join with it
+    then shuffles. ``df`` should be cheap to count."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the Python workers once a session (SparkContext.addPyFile), so that
     executors need not have it installed."""
@@ -130,7 +139,7 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def append_columns(df: DataFrame, text: str, new: list[tuple[str, str]],
-                   work: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
+                   work: Callable[[pa.Array], list[pa.Array]], limit: int = CHUNK_BYTES) -> DataFrame:
     """``df`` with columns ``new`` (name, SQL type) made by ``work`` from the text's bytes, chunk by
     chunk in the tasks that read the rows (no shuffle). ``df``'s other columns pass through; one that
     has the name of a new column is replaced by it."""
@@ -142,7 +151,7 @@ def append_columns(df: DataFrame, text: str, new: list[tuple[str, str]],
     last, names = len(fed.columns) - 1, [*df.columns, *(n for n, _ in new)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, last):
+        for batch in chunks(batches, last, limit):
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *work(batch.column(last))], names=names)
 
     return in_arrow(fed, run, schema)

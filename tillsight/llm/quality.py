@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import WORD_PATTERN, free_name, stored, without
+from tillsight.llm.common import WORD_PATTERN, free_name, if_small, stored, without
 from tillsight.session import checkpoint_dir
 
 WINDOW = 5
@@ -117,6 +117,7 @@ def judge(docs: DataFrame, *, text: str = "text", host: str = "source", prefix:
         *[f"`{prefix}{k}`" for k in (*COUNTS, "n_lines", "base_failed")])
     rated = stored(rated, "quality")
     bad = host_verdicts(rated, host, prefix, max_rate).where("rejected").select(F.col("host").alias("_host"), "rejected")
+    bad = if_small(bad)        # documents are not shuffled to meet a few rejected hosts
     out = rated.join(bad, rated[f"`{host}`"].eqNullSafe(bad["_host"]), "left")
     verdict = ~F.col(f"`{prefix}base_failed`") & bad["rejected"].isNull()
     return out.select(*[rated[f"`{x}`"] for x in own], *[rated[f"`{prefix}{k}`"] for k in (*COUNTS, "base_failed")],
