@@ -90,3 +90,6 @@ def test_odd_rows_and_empty(spark):
     assert kept.columns == odd(spark).columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 5, 6, 7, 8, 9, 10]
     assert simhash.keep_one(empty(spark)).count() == 0
+    no_id = spark.createDataFrame([(None, "one two three four five"), (None, "one two three four five"), (None, "x y z")],
+                                  "doc_id long, text string")
+    assert sorted(r["text"] for r in simhash.keep_one(no_id).collect()) == ["one two three four five", "x y z"]

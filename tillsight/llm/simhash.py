@@ -30,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import append_columns, free_name, stored
@@ -152,9 +152,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def label(marked: DataFrame, fingerprint: str, component: str, *, doc_id: str = "doc_id", bits: int = 4,
-          segments: int = 2, bucket: int = 64) -> DataFrame:
-    """``marked`` (rows with a fingerprint) with ``component``, the smallest doc_id reachable. It is read
-    more than once, so it should be stored."""
+          segments: int = 2, bucket: int = 64, root: str | None = None) -> DataFrame:
+    """``marked`` (rows with a fingerprint) with ``component``, the smallest doc_id reachable, and
+    ``root``, one fingerprint of the component, if asked for. It is read more than once, so it should be stored."""
     checkpoint_dir(marked.sparkSession)
     ids = marked.select(F.col(f"`{fingerprint}`").alias("fp"), F.col(f"`{doc_id}`").alias("doc"))
     nodes = ids.groupBy("fp").agg(F.min("doc").alias("low")).checkpoint()
@@ -162,26 +162,36 @@ def label(marked: DataFrame, fingerprint: str, component: str, *, doc_id: str =
     named = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     lows = named.groupBy("root").agg(F.min("low").alias("component"))
-    named = named.join(lows, "root").select("fp", "component")
+    named = named.join(lows, "root").select("fp", "root", "component")
     # One fingerprint may hold a third of all rows: rows are salted, and the narrow table of
     # labels is repeated once a salt.
     salts = 16
     salt = free_name(marked, "salt")
     dealt = marked.withColumn(salt, F.pmod(F.xxhash64(f"`{doc_id}`"), F.lit(salts)).cast("int"))
-    table = named.select(F.col("fp").alias("_f"), F.col("component").alias("_c"),
+    table = named.select(F.col("fp").alias("_f"), F.col("root").alias("_r"), F.col("component").alias("_c"),
                          F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
     out = dealt.join(table, (dealt[f"`{fingerprint}`"] == table["_f"]) & (dealt[f"`{salt}`"] == table["_s"]))
-    return out.select(*[dealt[f"`{c}`"] for c in marked.columns], table["_c"].alias(component))
+    more = [table["_r"].alias(root)] if root else []
+    return out.select(*[dealt[f"`{c}`"] for c in marked.columns], table["_c"].alias(component), *more)
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", words: int = 4, bits: int = 4) -> DataFrame:
-    """One row of each component, one with the smallest doc_id; ``docs``' columns."""
-    fp = free_name(docs, "fp")
-    comp = free_name(docs, "component_id")
-    marked = stored(with_fingerprint(docs, fp, text=text, words=words))
-    grouped = label(marked, fp, comp, doc_id=doc_id, bits=bits)
-    best = grouped.where(F.col(f"`{doc_id}`").eqNullSafe(F.col(f"`{comp}`")))
-    # What is left repeats one doc_id inside a component: rows of the same document.
-    n = free_name(grouped, "n")
-    w = Window.partitionBy(f"`{comp}`").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    return best.withColumn(n, F.row_number().over(w)).where(F.col(f"`{n}`") == 1).select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component, one with the smallest doc_id; ``docs``' columns.
+
+    Rows are known by (doc_id, hash of all columns) while groups are found, so texts are read twice and
+    shuffled once."""
+    key, fp = free_name(docs, "key"), free_name(docs, "fp")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = with_fingerprint(docs.withColumn(key, row), fp, text=text, words=words).select(
+        F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{key}`").alias("row"), F.col(f"`{fp}`").alias("fp"))
+    grouped = label(stored(marked, "simhash"), "fp", "component", doc_id="doc", bits=bits, root="root")
+    first = grouped.where(F.col("doc").eqNullSafe(F.col("component")))
+    counted = first.groupBy("root", "doc", "row").agg(F.count(F.lit(1)).alias("same"))
+    pick = counted.groupBy("root").agg(F.min(F.struct("row", "doc", "same")).alias("p")).select(
+        F.col("p.doc").alias("_pd"), F.col("p.row").alias("_pr"), F.col("p.same").alias("_ps"))
+    named = docs.withColumn(key, row)
+    kept = named.join(pick, named[f"`{doc_id}`"].eqNullSafe(pick["_pd"]) & (named[f"`{key}`"] == pick["_pr"]))
+    # Equal rows all match; one of them stays.
+    once = kept.where("_ps = 1")
+    more = kept.where("_ps > 1").dropDuplicates(["_pd", "_pr"])
+    return once.unionByName(more).select(*[f"`{c}`" for c in docs.columns])
