@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tillsight.llm.common import append_columns, chunks, in_arrow
 
 DECAY, MAX_SPAN, WINDOW = 0.6, 7, 24
-SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 512, 2
+SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 384, 1
 CACHE_WORDS = 1_000_000
 ORDER, ALPHABET = 4, 39
 _RUN = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
@@ -227,21 +227,21 @@ def _fit_words(words: list[str], y: np.ndarray, weight: np.ndarray, landmarks: i
                             rng.permutation(neg)[:landmarks // 2]])
     r, t, v = features([syms[i] for i in marks])
     cols, t = np.unique(t, return_inverse=True)
-    phi = np.zeros((len(marks), len(cols)))
+    phi = np.zeros((len(marks), len(cols)), np.float32)
     np.add.at(phi, (r, t), v)
-    val, vec = np.linalg.eigh(phi @ phi.T)
-    good = val > 1e-6 * val[-1]
+    val, vec = np.linalg.eigh((phi @ phi.T).astype(np.float64))
+    good = val > 1e-5 * val[-1]
     whiten = vec[:, good] / np.sqrt(val[good])
-    fold = phi.T @ whiten                      # tuples seen in landmarks -> Nyström features
+    fold = phi.T @ whiten.astype(np.float32)   # tuples seen in landmarks -> Nyström features
+    del phi
     z = np.zeros((len(words), fold.shape[1]))
-    r, t, v = features(syms)
-    at = np.searchsorted(cols, t).clip(max=len(cols) - 1)
-    hit = cols[at] == t
-    for a in range(0, len(words), 1000):
-        here = hit & (r >= a) & (r < a + 1000)
-        part = np.zeros((min(1000, len(words) - a), len(cols)))
-        np.add.at(part, (r[here] - a, at[here]), v[here])
-        z[a:a + 1000] = part @ fold
+    for a in range(0, len(words), 200):        # a few words' tuples at a time: the driver stays small
+        r, t, v = features(syms[a:a + 200])
+        at = np.searchsorted(cols, t).clip(max=len(cols) - 1)
+        hit = np.flatnonzero(cols[at] == t)
+        if len(hit):
+            rows, first = np.unique(r[hit], return_index=True)
+            z[a + rows] = np.add.reduceat(fold[at[hit]] * v[hit, None].astype(np.float32), first, axis=0)
     w = _svm(z, y, weight)
     theta = np.zeros(ALPHABET ** ORDER, np.float32)
     theta[cols] = fold @ w[:-1]
@@ -372,7 +372,7 @@ def _calibrated(machine: Machine, fed: DataFrame, prior: float) -> Machine:
     # The sample may hold the labels in another proportion than all labelled rows.
     weight = np.where(y > 0, prior / max(1, (y > 0).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
     w = np.zeros(x.shape[1])
-    ridge = np.diag([1e-2] * TOP + [1e-4])
+    ridge = np.diag([1e-2] * (x.shape[1] - 1) + [1e-4])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (weight * (p - y)) + ridge @ w
