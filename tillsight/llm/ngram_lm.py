@@ -42,6 +42,7 @@ from tillsight.session import checkpoint_dir
 BASE, PROBES, BITS_AN_ENTRY = 2.0, 3, 8
 MIN_COUNT, DISCOUNT, MOST = 2, 0.75, 0.9
 BROADCAST_BYTES = 192 << 20
+CHUNK = 2 << 20                 # bytes of text hashed at a time: a dozen arrays of 8 bytes a byte
 SEGMENT_TOKENS = 8_000_000      # training tokens a segment is sized for
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,11 +69,13 @@ def token_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     n = len(offs) - 1
     if not len(start):
         return np.full(n, END), np.arange(n)
-    size = end - start
+    size = (end - start).astype(np.int32)
     first = np.cumsum(size) - size
-    at = np.arange(int(size.sum())) - np.repeat(first, size)         # place in the word
-    byte = ASCII_LOWER[buf[np.repeat(start, size) + at]]
-    h = _mix(np.add.reduceat(_BYTE[byte] * _powers(int(size.max()))[at], first) + size.astype(np.uint64)) & ~_ONE
+    at = np.arange(int(size.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), size)      # place in the word
+    value = _BYTE[ASCII_LOWER[buf[np.repeat(start.astype(np.int32), size) + at]]]
+    value *= _powers(int(size.max()))[at]
+    h = _mix(np.add.reduceat(value, first) + size.astype(np.uint64)) & ~_ONE
+    del at, value
     words = np.bincount(text, minlength=n)
     out = np.full(len(h) + n, END)
     out[np.arange(len(h)) + text] = h
@@ -200,7 +203,7 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     fed = docs.where(usable).select(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, 0):
+        for batch in chunks(batches, 0, CHUNK):
             h, at = token_hashes(batch.column(0))
             p, has = pair_hashes(h, at)
             for keys in (h, p[has]):
@@ -299,7 +302,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", broadcast_bytes:
             h, at = token_hashes(col)
             return _sums(at, len(col), *_looked_up(held.value, h, at), tokens, distinct)
 
-        return append_columns(docs, text, _OUT, work)
+        return append_columns(docs, text, _OUT, work, CHUNK)
 
     # More segments than may be broadcast at once: positions carry what has been resolved so far.
     names = ["known", "before", "pair", "mass"]
@@ -313,7 +316,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", broadcast_bytes:
         return [pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (h, none, none, none, none)]
 
     own = [c for c in docs.columns if c != text]
-    state = stored(append_columns(docs, text, start, begin).drop(text), "lm-state")
+    state = stored(append_columns(docs, text, start, begin, CHUNK).drop(text), "lm-state")
     width = len(own)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema)
     for numbers in passes:
