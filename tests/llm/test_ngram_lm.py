@@ -19,6 +19,11 @@ def brute(rows):
     return c, n, v
 
 
+def brute_all(texts):
+    c = Counter(w for t in texts for w in [*t.split(), None])
+    return c, sum(c.values()), len(c)
+
+
 def scored(spark, docs, **options):
     held = docs.withColumn("held", fold(F.col("doc_id"), 10) == 0)
     model = lm.train(held, ~F.col("held"), **{k: v for k, v in options.items() if k == "segment_tokens"})
@@ -73,6 +78,28 @@ def test_probabilities_of_a_context_add_up(spark):
     assert one["a b"] > one["a c"] > one["a d"] > one["a a"]
 
 
+def test_pairs_seen_once_are_kept(spark):
+    texts = ["o p", "o q", "o r s", "t u"]      # none of these pairs meets a false positive of the filter
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = lm.train(docs, F.lit(True))
+    asked = spark.createDataFrame([(0, "o p"), (1, "t u"), (2, "t p")], "doc_id long, text string")
+    got = {r["text"]: r["score"] for r in lm.score(asked, model).collect()}
+    c, n, v = brute_all(texts)
+    pairs = Counter(p for t in texts for p in zip(t.split(), [*t.split()[1:], None], strict=True))
+
+    def p(prev, x):
+        p0 = (c[x] + 0.1) / (n + 0.1 * (v + 1))
+        if prev is None:
+            return p0
+        of = [k for (h, _), k in pairs.items() if h == prev]
+        return max(pairs[prev, x] - 0.75, 0) / c[prev] + (1 - sum(k - 0.75 for k in of) / c[prev]) * p0
+
+    for text, score in got.items():
+        t = text.split()
+        want = sum(math.log10(p(h, x)) for h, x in zip([None, *t], [*t, None], strict=True))
+        assert math.isclose(score, want, rel_tol=1e-9), text
+
+
 def test_odd_rows_and_empty(spark):
     model, out = scored(spark, odd(spark))
     rows = {r["key"]: r for r in out.withColumn("t", F.length("text")).collect()}

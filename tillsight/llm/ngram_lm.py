@@ -5,11 +5,11 @@ of its bytes, computed with numpy over whole chunks (two tokens of a corpus with
 different ones share a hash with probability of about 0.03).
 
 **Counts.** Tasks pre-aggregate hashes a chunk; one shuffle sums them. Tokens keep exact counts (the
-base score is exact); pairs of neighbouring tokens that occur at least `min_count` times enter the
-filter: a pair of count c is inserted under levels 1..q with q = 1 + floor(log_BASE(c)), so a reader
-probes levels upwards until the first miss and takes the middle of the last level that answered.
-For every context the filter also holds, quantised the same way, the discounted mass of its kept
-pairs.
+base score is exact); pairs of neighbouring tokens that occur at least `min_count` times (1: all of
+them) enter the filter: a pair of count c is inserted under levels 1..q with q = 1 + floor(log_BASE(c)),
+so a reader probes levels upwards until the first miss and takes the middle of the last level that
+answered. Beside the filter, every context has the discounted mass of its kept pairs, in units of
+1/UNITS: most contexts are rare, and a quantised mass would be as large as their count.
 
 **Model**: absolute discounting with back-off to the smoothed token model,
 P(w|h) = max(E(h,w) - D, 0) / c(h) + (1 - M(h) / c(h)) * P0(w), P0(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
@@ -29,7 +29,7 @@ and scored each; other columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,9 @@ from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, i
 from tillsight.session import checkpoint_dir
 
 BASE, PROBES, BITS_AN_ENTRY = 2.0, 3, 8
-MIN_COUNT, DISCOUNT, MOST = 2, 0.75, 0.9
+MIN_COUNT, DISCOUNT, MOST = 1, 0.75, 0.9
+UNITS = 4                       # DISCOUNT is a whole number of 1/UNITS
+INSERT = 1 << 20                # keys put into a filter at a time
 BROADCAST_BYTES = 192 << 20
 CHUNK = 2 << 20                 # bytes of text hashed at a time: a dozen arrays of 8 bytes a byte
 SEGMENT_TOKENS = 8_000_000      # training tokens a segment is sized for
@@ -110,17 +112,32 @@ def middle(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, (low + np.maximum(low, BASE * low - 1)) / 2, 0.0)
 
 
+def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The values of ``asked`` by sorted ``keys``, 0 where there is none."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64)
+    at = np.searchsorted(keys, asked).clip(max=len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
+
+
 class Segment:
-    """Exact token counts and log-frequency filter of one hash range."""
+    """Exact token counts, log-frequency filter of pairs and exact masses of contexts of one hash range."""
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray, keys: np.ndarray, levels: np.ndarray):
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray, keys: np.ndarray, levels: np.ndarray,
+                 contexts: np.ndarray | None = None, masses: np.ndarray | None = None):
         order = np.argsort(tokens)
         self.tokens, self.counts = tokens[order], counts[order].astype(np.int64)
+        contexts = tokens[:0] if contexts is None else contexts
+        order = np.argsort(contexts)
+        self.contexts = contexts[order]
+        self.masses = (counts[:0] if masses is None else masses)[order].astype(np.int64)
         self.size = max(64, int(levels.sum()) * BITS_AN_ENTRY)
         self.bits = np.zeros(-(-self.size // 8), np.uint8)
         for q in range(1, int(levels.max(initial=0)) + 1):
-            for at in self._places(keys[levels >= q], q):
-                np.bitwise_or.at(self.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+            keys, levels = keys[levels >= q], levels[levels >= q]
+            for i in range(0, len(keys), INSERT):
+                for at in self._places(keys[i:i + INSERT], q):
+                    np.bitwise_or.at(self.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
 
     def _places(self, keys: np.ndarray, q: int) -> list[np.ndarray]:
         a = _mix(keys + np.uint64(q * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
@@ -128,10 +145,10 @@ class Segment:
         return [(a + b * np.uint64(j)) % np.uint64(self.size) for j in range(PROBES)]
 
     def count(self, tokens: np.ndarray) -> np.ndarray:
-        if not len(self.tokens):
-            return np.zeros(len(tokens), np.int64)
-        at = np.searchsorted(self.tokens, tokens).clip(max=len(self.tokens) - 1)
-        return np.where(self.tokens[at] == tokens, self.counts[at], 0)
+        return _found(self.tokens, self.counts, tokens)
+
+    def mass(self, contexts: np.ndarray) -> np.ndarray:
+        return _found(self.contexts, self.masses, contexts)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Probe level after level until the first miss."""
@@ -153,15 +170,15 @@ class Tables:
     def __init__(self, n: int, segments: dict[int, Segment]):
         self.n, self.segments = n, segments
 
-    def resolve(self, keys: np.ndarray, exact: bool) -> np.ndarray:
-        """Counts (exact) or levels of keys; -1 where the key's segment is not here."""
+    def resolve(self, keys: np.ndarray, what: Callable[[Segment, np.ndarray], np.ndarray]) -> np.ndarray:
+        """``what`` (a method of Segment) of keys; -1 where the key's segment is not here."""
         out = np.full(len(keys), -1, np.int64)
         which = segment_of(keys, self.n)
         order = np.argsort(which, kind="stable")
         edge = np.searchsorted(which[order], np.arange(self.n + 1))
         for s, seg in self.segments.items():
             at = order[edge[s]:edge[s + 1]]
-            out[at] = seg.count(keys[at]) if exact else seg.levels(keys[at])
+            out[at] = what(seg, keys[at])
         return out
 
 
@@ -211,7 +228,7 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "n"])
 
     seen = in_arrow(fed, count, "k bigint, n bigint")
-    # Most pairs occur once in the corpus: they are summed and dropped before anything is stored.
+    # Most pairs occur once in the corpus, and they are kept (min_count 1): level 1 of the filter.
     # Keys are hashes, so no key decides the load; odd ones are pairs.
     kind = F.col("k").bitwiseAND(1)
     summed = seen.groupBy("k").agg(F.sum("n").alias("n")).where((kind == 0) | (F.col("n") >= min_count))
@@ -219,9 +236,9 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     total = summed.where("kind = 0").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = int(total["n"] or 0), int(total["v"])
     low = F.col("k").bitwiseAND(0xFFFFFFFF)
-    mass = (summed.where("kind = 1").groupBy(low.alias("c")).agg(F.sum(F.col("n") - DISCOUNT).alias("m"))
+    mass = (summed.where("kind = 1").groupBy(low.alias("c")).agg(F.sum(F.col("n") * UNITS - int(DISCOUNT * UNITS)).alias("m"))
             .select(F.lit(2).alias("kind"), F.shiftleft("c", 32).bitwiseOR(F.col("c")).alias("k"),
-                    F.ceil("m").cast("bigint").alias("n")))
+                    F.col("m").alias("n")))
     n = max(1, -(-tokens // segment_tokens))
     # Segment of a hash: its upper 32 bits times n, shifted down, as segment_of() has it.
     seg = F.shiftrightunsigned(F.shiftrightunsigned("k", 32) * n, 32).cast("int")
@@ -232,10 +249,20 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
 
-        def made(s: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            kind, k, c = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (1, 2, 3))
-            k, one = k.view(np.uint64), kind == 0
-            body = pickle.dumps(Segment(k[one], c[one], k[~one], level(c[~one])), protocol=5)
+        def parts_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+            """Keys and values by kind, copied: a batch is not held, and a pair takes 9 bytes."""
+            kind, k, c = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            out = [x[kind == i] for i in range(3) for x in (k.view(np.uint64), c)]
+            out[3] = level(out[3]).astype(np.int8)
+            return out
+
+        def made(s: int, held: list[list[np.ndarray]]) -> pa.RecordBatch:
+            whole = []
+            for i in range(6):
+                whole.append(np.concatenate([h[i] for h in held]))
+                for h in held:
+                    h[i] = None
+            body = pickle.dumps(Segment(*whole), protocol=5)
             return pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([len(body)], pa.int64()),
                                                pa.array([body], pa.binary())], names=["segment", "bytes", "body"])
 
@@ -248,7 +275,7 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
                     held = []
                 now = s
                 a, b = np.searchsorted(which, [s, s + 1])
-                held.append(batch.slice(int(a), int(b - a)))
+                held.append(parts_of(batch.slice(int(a), int(b - a))))
         if held:
             yield made(now, held)
 
@@ -267,7 +294,7 @@ def _sums(text: np.ndarray, n: int, known: np.ndarray, before: np.ndarray, pair:
     base = _log_base(known, tokens, distinct)
     p0 = 10.0 ** base
     context = np.maximum(before, 1)
-    share = np.where(before > 0, np.minimum(middle(mass) / context, MOST), 0.0)
+    share = np.where(before > 0, np.minimum(mass / UNITS / context, MOST), 0.0)
     seen = np.where(before > 0, np.minimum(np.maximum(middle(pair) - DISCOUNT, 0) / context, MOST), 0.0)
     score = np.where(seen > 0, np.log10(seen + (1 - share) * p0), np.log10(1 - share) + base)
     return [pa.array(np.bincount(text, minlength=n).astype(np.int64)),
@@ -281,13 +308,13 @@ _OUT = [("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"),
 
 def _looked_up(t: Tables, h: np.ndarray, text: np.ndarray) -> list[np.ndarray]:
     p, has = pair_hashes(h, text)
-    known = t.resolve(h, True)
+    known = t.resolve(h, Segment.count)
     prev = np.concatenate([h[:1], h[:-1]])
     before = np.where(has, np.concatenate([[-1], known[:-1]]), 0)
-    pair = np.where(has, t.resolve(p, False), 0)
+    pair = np.where(has, t.resolve(p, Segment.levels), 0)
     # The mass is asked once a distinct context of the chunk, not at every position.
     u, at = np.unique(prev, return_inverse=True)
-    mass = np.where(has, t.resolve(_context(u), False)[at], 0)
+    mass = np.where(has, t.resolve(_context(u), Segment.mass)[at], 0)
     return [known, before, pair, mass]
 
 
