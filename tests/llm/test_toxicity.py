@@ -82,12 +82,3 @@ def test_odd_rows_and_empty(spark, machine):
     assert {r["tox"] for r in toxicity.score(odd(spark), one, name="tox").collect()} == {0.0}
     none = toxicity.train(empty(spark), labels.where("false"))
     assert {r["tox"] for r in toxicity.score(odd(spark), none, name="tox").collect()} == {0.0}
-
-
-def test_second_margin_counts():
-    rng = np.random.default_rng(3)
-    m = toxicity.Machine(rng.normal(size=toxicity.ALPHABET ** toxicity.ORDER).astype(np.float32), 0.0, np.array([1.0, 1.0, 0.0]))
-    words = ["hello", "world", "planet", "stone", "river"]
-    low, high = sorted(words, key=lambda w: m.margins([w])[0])[-2:]
-    one, two = m.scores([high, f"{high} {low}"])
-    assert one < two

@@ -19,7 +19,7 @@ document shares its credit among the candidates in it (expectation maximisation)
 beside an insult keeps little; those with credit left are the witnesses, also with a character
 inserted. The machine is refitted in rounds, each adding the clean words of the largest margin as
 hard negatives. A document's score is a logistic function of
-the largest margins of its words, calibrated on training documents.
+the TOP (1) largest margins of its words, calibrated on training documents.
 
 Everything is fitted on at most about `sample` documents of either label and `pool` words (both
 parameters), so what reaches the driver is bounded; every document is scored, over its whole text.
@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tillsight.llm.common import append_columns, chunks, in_arrow
 
 DECAY, MAX_SPAN, WINDOW = 0.6, 7, 24
-SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 512, 2
+SAMPLE, POOL, LANDMARKS, TOP = 3000, 3000, 384, 1
 CACHE_WORDS = 1_000_000
 ORDER, ALPHABET = 4, 39
 _RUN = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
@@ -230,7 +230,7 @@ def _fit_words(words: list[str], y: np.ndarray, weight: np.ndarray, landmarks: i
     phi = np.zeros((len(marks), len(cols)), np.float32)
     np.add.at(phi, (r, t), v)
     val, vec = np.linalg.eigh((phi @ phi.T).astype(np.float64))
-    good = val > 1e-6 * val[-1]
+    good = val > 1e-5 * val[-1]
     whiten = vec[:, good] / np.sqrt(val[good])
     fold = phi.T @ whiten.astype(np.float32)   # tuples seen in landmarks -> Nyström features
     del phi
