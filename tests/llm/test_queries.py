@@ -14,11 +14,15 @@ COLUMNS = {
     "op8_simhash": ["doc_id", "fingerprint", "component_id"],
     "op9_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op11_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+    "op12_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost",
+                          "toxic_lost", "shapley"],
+    "op13_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
-def test_ten_queries():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -29,7 +33,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_equals_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.sql(queries.ORACLE[name]).df()

@@ -60,6 +60,35 @@ def if_small(df: DataFrame) -> DataFrame:
     then shuffles. ``df`` should be cheap to count."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
+HOT_SHARE = 1024
+
+
+def meet(rows: DataFrame, side: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``rows`` left-joined with ``side``, which has one row a key and how many rows have it (``count``, dropped).
+
+    A key of more than a `HOT_SHARE`-th of all rows is hot: there are fewer than `HOT_SHARE` of them, so
+    their side is broadcast, and their rows take part in the shuffled join under keys of their own, spread
+    over all tasks. ``rows`` and ``side`` are read several times and should be stored tables. Null keys meet
+    nothing."""
+    values = [c for c in side.columns if c not in (*keys, count)]
+    bar = rows.count() // HOT_SHARE
+    renamed = side.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                          *[F.col(c).alias(f"_v{i}") for i, c in enumerate(values)], F.col(count).alias("_n"))
+    hot = renamed.where(F.col("_n") > bar).withColumnRenamed("_n", "_hot")
+    hot = hot.select(*[F.col(f"_k{i}").alias(f"_h{i}") for i in range(len(keys))],
+                     *[F.col(f"_v{i}").alias(f"_w{i}") for i in range(len(values))], "_hot")
+    cold = renamed.where(F.col("_n") <= bar).withColumn("_own", F.lit(0).cast("long")).drop("_n")
+    on_hot = [F.col(k) == F.col(f"_h{i}") for i, k in enumerate(keys)]
+    out = rows.join(F.broadcast(hot), on_hot, "left")
+    lost = F.col("_hot").isNotNull()
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    out = out.withColumn("_row", F.when(lost, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("long")))
+    on_cold = [*[F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_row") == F.col("_own")]
+    out = out.join(cold, on_cold, "left")
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns],
+                      *[F.coalesce(F.col(f"_w{i}"), F.col(f"_v{i}")).alias(c) for i, c in enumerate(values)])
+
 
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the Python workers once a session (SparkContext.addPyFile), so that

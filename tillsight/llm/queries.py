@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import ann, bpe, langid, license_scan, mixing, ngram_lm, quality, simhash, tool_calls, toxicity
+from tillsight.llm import (ann, bpe, conversation_repair, filter_audit, langid, license_scan, mixing, ngram_lm, quality,
+                           simhash, token_counts, tool_calls, toxicity)
 from tillsight.llm.common import fold, stored, table
 
 #: Place of the byte-level BPE file; None means the installed public vocabulary.
@@ -83,9 +84,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, carry=["doc_id"])
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary()).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(rows), rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ann_vp_tree, op2_mix_sources, op3_lm_score, op4_language_id, op5_tool_calls, op6_toxicity,
-    op7_license_scan, op8_simhash, op9_bpe, op10_quality_rules)}
+    op7_license_scan, op8_simhash, op9_bpe, op10_quality_rules, op11_token_counts, op12_filter_audit,
+    op13_conversation_repair)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op5_tool_calls": tool_calls.ORACLE, "op10_quality_rules": quality.ORACLE}
+ORACLE: dict[str, str] = {"op5_tool_calls": tool_calls.ORACLE, "op10_quality_rules": quality.ORACLE,
+                          "op12_filter_audit": filter_audit.ORACLE}
