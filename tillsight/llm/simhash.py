@@ -86,6 +86,8 @@ def links(prints: DataFrame, *, bits: int = 4, segments: int = 2, bucket: int =
     """Links (a, b), a < b, over distinct fingerprints ``fp`` that have the transitive closure of all
     pairs within ``bits`` bits."""
     width = 64 // segments
+    # Few narrow rows are about to be many: a number given keeps them on as many tasks.
+    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     near = ball(width, -(-(bits // segments) // 2))
     entries = prints.select("fp", F.posexplode(F.array(*[
         F.shiftrightunsigned("fp", width * s).bitwiseAND((1 << width) - 1) for s in range(segments)])
