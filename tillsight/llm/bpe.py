@@ -5,7 +5,7 @@ distinct piece of a chunk once. All distinct pieces stand in one symbol sequence
 every mergeable pair to all its positions there. Ranks are applied in ascending order: the
 smallest active rank merges at all its positions (left to right), and only the two neighbouring
 pairs of each merge enter the lists of their own ranks. Decoding joins the byte strings of the
-ids. Finished pieces are kept in a cache of bounded size.
+ids. Finished pieces are kept in a cache of bounded bytes, which goes when the worker turns to another stage.
 
 The vocabulary (a `tokenizers` JSON of type BPE with the ByteLevel pre-tokeniser and decoder) is
 read by the driver and broadcast; its size is that of the file, some MB whatever the corpus.
@@ -31,7 +31,10 @@ from pyspark.sql import DataFrame
 
 from tillsight.llm.common import append_columns
 
-CACHE_PIECES = 300_000
+#: Bytes of text whose distinct pieces share an index; a worker holds some hundred bytes a piece of it.
+CHUNK = 1 << 20
+#: Bytes of a worker's finished pieces; an entry's own objects count as `ENTRY_BYTES`.
+CACHE_BYTES, ENTRY_BYTES = 128 << 20, 280
 
 # Fixed values of the byte-level format: the contractions, and Unicode white space.
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -166,10 +169,10 @@ def encode_pieces(pieces: list[bytes], voc: Vocabulary) -> list[list[int]]:
 
 
 class Encoder:
-    """Encodes the texts of one task; keeps at most ``CACHE_PIECES`` finished pieces."""
+    """Encodes texts; keeps finished pieces of about ``CACHE_BYTES`` and those of the current chunk."""
 
     def __init__(self, voc: Vocabulary):
-        self.voc, self.known = voc, {}
+        self.voc, self.known, self.size = voc, {}, 0
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(voc.special, key=len, reverse=True))) + ")") \
             if voc.special else None
 
@@ -189,19 +192,20 @@ class Encoder:
                 out += (plain if part.isascii() else full).findall(part)
         return out
 
-    def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes, list[int]]]]:
-        """For every text its pieces as (ids, ids as text, decoded bytes, ids)."""
+    def encode(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
+        """For every text its pieces as (number of ids, ids as text, decoded bytes)."""
         cut = [self.pieces(t) for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
+        if self.size > CACHE_BYTES:
+            self.known, self.size = {}, 0
         known, voc = self.known, self.voc
         fresh = list(set().union(*map(set, cut)) - known.keys()) if cut else []
         words = [p for p in fresh if isinstance(p, str)]
         for p in fresh:
             if not isinstance(p, str):
-                known[p] = (1, str(p[0]), voc.bytes_of[p[0]], [p[0]])
+                known[p] = (1, str(p[0]), voc.bytes_of[p[0]])
         for p, ids in zip(words, encode_pieces([w.encode() for w in words], voc), strict=True):
-            known[p] = (len(ids), ",".join(map(str, ids)), b"".join([voc.bytes_of[i] for i in ids]), ids)
+            entry = known[p] = (len(ids), ",".join(map(str, ids)), b"".join([voc.bytes_of[i] for i in ids]))
+            self.size += ENTRY_BYTES + 2 * len(p) + len(entry[1]) + len(entry[2])
         return [[known[p] for p in c] for c in cut]
 
 
@@ -209,7 +213,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", *, ids: str = "
            decoded: str = "decoded") -> DataFrame:
     """``docs`` with the id list of every text and the text decoded from it again."""
     return _run(docs, vocabulary, text, [(ids, "array<int>"), (decoded, "string")], lambda rows: [
-        pa.array([[i for p in r for i in p[3]] for r in rows], pa.list_(pa.int32())),
+        pa.array([[int(i) for p in r for i in p[1].split(",")] for r in rows], pa.list_(pa.int32())),
         pa.array([b"".join([p[2] for p in r]).decode("utf-8", "replace") for r in rows], pa.string())])
 
 
@@ -233,17 +237,12 @@ def _run(docs: DataFrame, vocabulary: str, text: str, new: list[tuple[str, str]]
         texts = [(t or b"").decode("utf-8", "replace") for t in col.to_pylist()]
         return reduce(_encoder(spec).encode(texts))
 
-    return append_columns(docs, text, new, work)
-
-
-_ENCODERS: dict[int, Encoder] = {}
+    return append_columns(docs, text, new, work, CHUNK)
 
 
 def _encoder(spec) -> Encoder:
-    """One encoder a worker process and vocabulary."""
-    text = spec.value
-    key = hash(text)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(Vocabulary(json.loads(text)))
-    return _ENCODERS[key]
+    """One encoder a worker process, kept on the broadcast: Spark drops that from a worker that turns to a stage
+    without it, and the cache goes with it."""
+    if not hasattr(spec, "encoder"):
+        spec.encoder = Encoder(Vocabulary(json.loads(spec.value)))
+    return spec.encoder
