@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight import warehouse
-from tillsight.operators.clean import clean_accounting
+from tillsight.operators.clean import clean, clean_accounting
 from tillsight.operators.enrich import attach_rfm, enrich_money, with_date_parts
 from tillsight.operators.quality import key_integrity, profile, sanity_top5, table_counts
 from tillsight.oracle import sql as O
@@ -123,8 +123,23 @@ def etl_multi_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bigint_cols(read_transactions(spark, paths).select("source", "part_no", *_LINE_COLS))
 
 
+_FILES = 5
+_FILE_ORDER = ["invoice_ts", "invoice", "stock_code", "customer_id", "price", "quantity", "description", "country"]
+
+
+def etl_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines written as one part of several files without line numbers, newest first, and read
+    back: dense line numbers in file order, and the copy that comes first survives the cleaning."""
+    path = scratch_path(spark, "part-files")
+    order = [F.col(c).desc() if c == "invoice_ts" else F.col(c).asc_nulls_last() for c in _FILE_ORDER]
+    lines = warehouse.raw(spark, sf_dir).select(*_FILE_ORDER)
+    write_table(lines.repartitionByRange(_FILES, *order).sortWithinPartitions(*order), path)
+    return bigint_cols(clean(read_transactions(spark, {"files": path})).select("part_no", *_LINE_COLS))
+
+
 QUERIES = {
     "etl_multi_part": etl_multi_part,
+    "etl_line_order": etl_line_order,
     "etl_clean": etl_clean,
     "etl_enrich_money": etl_enrich_money,
     "etl_date_parts": etl_date_parts,
@@ -155,6 +170,16 @@ SELECT CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 'late' ELSE 'early' END AS
        CAST(CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 0 ELSE 1 END AS BIGINT) AS part_no,
        invoice, stock_code, description, {_IB('quantity')}, invoice_ts, {_D('price')}, customer_id, country, line_no
 FROM raw"""),
+    "etl_line_order": O.with_prelude(f"""
+SELECT CAST(0 AS BIGINT) AS part_no, invoice, stock_code, description, {_IB('quantity')}, invoice_ts, {_D('price')}, customer_id, country,
+       line_no FROM renumbered_kept WHERE first_ = 1""", f"""
+numbered AS (SELECT * EXCLUDE (line_no), row_number() OVER (ORDER BY invoice_ts DESC, invoice, stock_code, customer_id, price, quantity,
+  description NULLS LAST, country NULLS LAST) - 1 AS line_no FROM raw),
+renumbered AS (SELECT invoice, {O.strip('stock_code')} AS stock_code, {O.strip('description')} AS description, quantity, invoice_ts, price,
+  customer_id, {O.title(O.strip('country'))} AS country, line_no FROM numbered
+  WHERE customer_id IS NOT NULL AND description IS NOT NULL AND NOT coalesce(starts_with(invoice, 'C'), false) AND quantity > 0 AND price > 0
+    AND NOT coalesce(stock_code IN ({_CODES}), false) AND NOT coalesce(starts_with(stock_code, 'GIFT'), false)),
+renumbered_kept AS (SELECT *, row_number() OVER (PARTITION BY invoice, stock_code, customer_id ORDER BY line_no) AS first_ FROM renumbered)"""),
     "etl_clean": O.with_prelude(f"""
 SELECT invoice, stock_code, description, {_IB('quantity')}, invoice_ts, {_D('price')}, customer_id, country, line_no
 FROM cleaned"""),

@@ -1,9 +1,9 @@
 """Raw invoice-line sources (X1, X2 lives in operators.quality, X3, X4, U2).
 
 Columns are found by header name, as the source spells them or as the library does. A line's place in its
-part (``line_no``) is taken from the source where it has such a column. Otherwise it is the row's
-position in the scan: exact for a part of one file (its splits are read in order); a part of
-several files, whose order Spark does not promise, needs a ``line_no`` column of its own.
+part (``line_no``) is taken from the source where it has such a column. Otherwise the lines of its files, in the
+natural order of their paths, are numbered 0..n-1 from the file source's metadata (``line_order``): the
+same numbers for any split size, task count or retry.
 ``part_no`` numbers the parts in the order given, so "first" means first in (part_no, line_no).
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.schemas import RAW_COLUMNS, RAW_TRANSACTIONS, SOURCE_HEADERS
+from tillsight.sources.line_order import with_line_number
 from tillsight.sources.sinks import checked_write
 
 
@@ -25,11 +26,14 @@ def read_part(spark: SparkSession, path: str, fmt: str = "parquet", options: Map
     if fmt == "csv":       # every field as text; the casts below are strict
         reader = reader.option("header", "true").option("mode", "FAILFAST")
     df = reader.options(**(options or {})).format(fmt).load(path)
+    if not any(c.strip().lower() == "line_no" for c in df.columns):
+        df = with_line_number(df, fmt)
     return normalise(df)
 
 
 def normalise(df: DataFrame) -> DataFrame:
-    """Columns by name (the source's headers or the library's own), cast to the raw schema."""
+    """Columns by name (the source's headers or the library's own), cast to the raw schema. A frame that was not
+    read from files and has no ``line_no`` gets the rows' positions as Spark hands them out."""
     own = {SOURCE_HEADERS.get(c.strip().lower(), c.strip().lower()): c for c in df.columns}
     missing = [c for c in RAW_COLUMNS if c not in own and c != "line_no"]
     if missing:
