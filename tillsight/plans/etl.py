@@ -6,7 +6,7 @@ star the ETL wrote.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillsight import warehouse
@@ -79,7 +79,7 @@ def etl_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _table(name):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(warehouse.star(spark, sf_dir), name)
-        return bigint_cols(df.select(*FACT_SALES_COLUMNS) if name == "fact_sales" else df)
+        return bigint_cols(df.select(*FACT_SALES_COLUMNS) if name == "fact_sales" else df.drop("created_at"))
     run.__name__ = name
     return run
 
@@ -137,7 +137,21 @@ def etl_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bigint_cols(clean(read_transactions(spark, {"files": path})).select("part_no", *_LINE_COLS))
 
 
+def fact_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by day with their ids' state: how many, how many distinct, and whether the day's ids all lie
+    behind those of the days before (ids grow along the clustering)."""
+    f = warehouse.star(spark, sf_dir).fact_sales
+    days = f.groupBy("date_key").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("sale_id").alias("ids"),
+                                     F.min("sale_id").alias("low"), F.max("sale_id").alias("high"),
+                                     F.count_distinct("created_at").alias("load_times"))
+    # One row a day of the calendar
+    before = Window.orderBy("date_key").rowsBetween(Window.unboundedPreceding, -1)
+    behind = F.coalesce(F.max("high").over(before) < F.col("low"), F.col("low") > 0)
+    return bigint_cols(days.select("date_key", "lines", "ids", "load_times", behind.alias("in_order")))
+
+
 QUERIES = {
+    "fact_primary_key": fact_primary_key,
     "etl_multi_part": etl_multi_part,
     "etl_line_order": etl_line_order,
     "etl_clean": etl_clean,
@@ -165,6 +179,9 @@ _D = lambda c: f"CAST({c} AS DOUBLE) AS {c}"
 _CODES = ", ".join(f"'{c}'" for c in ["POST", "D", "M", "BANK CHARGES", "PADS", "DOT", "CRUK"])
 
 ORACLE = {
+    "fact_primary_key": O.with_prelude("""
+SELECT CAST(date_key AS BIGINT) AS date_key, count(*) AS lines, count(*) AS ids, CAST(1 AS BIGINT) AS load_times, true AS in_order
+FROM fact_sales GROUP BY 1"""),
     "etl_multi_part": O.with_prelude(f"""
 SELECT CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 'late' ELSE 'early' END AS source,
        CAST(CASE WHEN year(invoice_ts) >= {PART_YEAR} THEN 0 ELSE 1 END AS BIGINT) AS part_no,
@@ -243,6 +260,8 @@ UNION ALL SELECT 'dim_location.location_key duplicate', count(*) - count(DISTINC
 UNION ALL SELECT 'dim_location.location_key null', count(*) - count(location_key) FROM dim_location
 UNION ALL SELECT 'dim_location.country null', count(*) - count(country) FROM dim_location
 UNION ALL SELECT 'fact_sales.invoice_id null', count(*) - count(invoice_id) FROM fact_sales
+UNION ALL SELECT 'fact_sales.sale_id duplicate', count(*) - count(DISTINCT sale_id) FROM (SELECT row_number() OVER () AS sale_id FROM fact_sales)
+UNION ALL SELECT 'fact_sales.sale_id null', count(*) - count(sale_id) FROM (SELECT row_number() OVER () AS sale_id FROM fact_sales)
 UNION ALL SELECT 'fact_sales.customer_key orphan', count(*) FROM fact_sales f
   WHERE f.customer_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_key = f.customer_key)
 UNION ALL SELECT 'fact_sales.product_key orphan', count(*) FROM fact_sales f

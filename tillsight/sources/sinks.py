@@ -1,8 +1,21 @@
-"""Star sinks (X5, X6, X7) and the star reader."""
+"""Star sinks (X5, X6, X7) and the star reader.
+
+A save writes a whole new version of the star into a folder of its own, dimensions before the fact, and then
+swaps one small manifest file that names it. Readers resolve the manifest once and read that version's
+folders, so a reader sees one version's tables whatever a later save does, and a save that fails leaves the
+version before it published. A save keeps the version before and removes older ones.
+
+The fact's primary key ``sale_id`` is given in the clustered write from the row's range partition and its place
+in it, so it costs no shuffle. It is unique, grows in clustering order and is not dense (an auto-increment
+does not promise that either). Rows are sorted by all their columns, so a task that is run again numbers its
+rows as before. ``created_at`` is one time for all rows of a save.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,13 +29,24 @@ from tillsight.schemas import STAR_TABLES
 LOAD_ORDER = [*STAR_TABLES, "fact_orders"]
 
 
+AUDIT = "created_at"
+SALE_ID = "sale_id"
+MANIFEST = "manifest.json"      # readable by Spark: no underscore in front
+
+
 def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Range-partition by (date_key, customer_key) and sort within each file, so Parquet
-    min/max statistics prune date and customer predicates (the warehouse's CLUSTER BY). Invoice and
-    product follow as range keys, so one customer's busy day can be split as well."""
+    """Range-partition by (date_key, customer_key) and sort within each file, so Parquet min/max
+    statistics prune date predicates (the warehouse's CLUSTER BY). Invoice and product follow as range
+    keys, so one customer's busy day can be split as well; the other columns only settle the order of ties."""
     n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["date_key", "customer_key", "invoice_id", "product_key"]
-    return fact.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    return fact.repartitionByRange(n, *keys).sortWithinPartitions(*keys, *[c for c in fact.columns if c not in keys])
+
+
+def with_sale_id(fact: DataFrame) -> DataFrame:
+    """The fact's primary key in front: unique, growing along the rows of a task and from task to task."""
+    rest = [c for c in fact.columns if c != SALE_ID]
+    return fact.select((F.monotonically_increasing_id() + 1).alias(SALE_ID), *rest)
 
 
 def checked_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
@@ -45,62 +69,117 @@ def checked_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet", partition_fact_by_month: bool = False,
-              cluster: bool = True, max_records_per_file: int | None = None, snapshot: str | None = None) -> dict[str, str]:
-    """X5 + X6: write the star, dimensions first, each a full replace (re-runnable), with its counts
-    checked after the write. The order grain is aggregated from the fact as written; ``snapshot`` is kept
-    beside the tables. CSV files have a header, and the schema is stored for reading them back."""
+              cluster: bool = True, max_records_per_file: int | None = None, snapshot: str | None = None,
+              created_at: dt.datetime | None = None, keep: int = 2) -> dict[str, str]:
+    """X5 + X6: write a new version of the star, dimensions first, with its counts checked after the write, and publish
+    it by swapping the manifest; returns the tables' folders. Re-runnable: every save is a full replace. The order
+    grain is aggregated from the fact as written; ``snapshot`` goes into the manifest. CSV files have a header, and
+    the manifest holds every table's schema for reading them back. ``keep`` versions stay, this one included."""
     from tillsight.operators.star import order_grain
 
     path = path.rstrip("/")
-    out = {}
     spark = next(iter(tables.values())).sparkSession
+    now = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    version = f"v{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    out, schemas, counts = {}, {}, {}
     for name in LOAD_ORDER:
-        target, part = f"{path}/{name}", None
+        target, part = f"{path}/{version}/{name}", None
         if name == "fact_orders":
-            df = order_grain(load_table(spark, path, "fact_sales", fmt))
+            df = order_grain(_read(spark, out["fact_sales"], schemas["fact_sales"], fmt))
         else:
-            df = tables[name]
+            df = tables[name].drop(AUDIT)
         if name == "fact_sales":
-            df = cluster_fact(df) if cluster else df
+            df = df.drop(SALE_ID)
+            df = with_sale_id(cluster_fact(df) if cluster else df)
             if partition_fact_by_month:
                 df = df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
                 part = ["year_month"]
-        if fmt == "csv":
-            schema = df.drop("year_month").schema.json()
-            spark.createDataFrame([(schema,)], "schema string").coalesce(1).write.mode("overwrite").json(f"{target}.schema")
-        checked_write(df, target, fmt, part, max_records_per_file)
-        out[name] = target
-    if snapshot:
-        spark.createDataFrame([(snapshot,)], "snapshot string").write.mode("overwrite").json(f"{path}/star_info")
+        if name != "fact_orders":
+            df = df.withColumn(AUDIT, F.lit(now).cast("timestamp_ntz"))
+        counts[name] = checked_write(df, target, fmt, part, max_records_per_file)
+        out[name], schemas[name] = target, json.loads(df.drop("year_month").schema.json())
+    before = manifest(spark, path)
+    _put(spark, f"{path}/{MANIFEST}", json.dumps({
+        "version": version, "format": fmt, "tables": LOAD_ORDER, "schemas": schemas, "counts": counts, "snapshot": snapshot,
+        "created_at": now.isoformat(), "kept": [version, *(before["kept"] if before else [])][:keep]}))
+    for old in (before["kept"] if before else [])[keep - 1:]:
+        _delete(spark, f"{path}/{old}")
     return out
 
 
-def load_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """One table of a saved star."""
-    target = f"{path.rstrip('/')}/{name}"
+def manifest(spark: SparkSession, path: str) -> dict | None:
+    """The published version's manifest, or None where nothing has been published."""
+    target = f"{path.rstrip('/')}/{MANIFEST}"
+    return json.loads("".join(r.value for r in spark.read.text(target, wholetext=True).collect())) if exists(spark, target) else None
+
+
+def _read(spark: SparkSession, target: str, schema: dict, fmt: str) -> DataFrame:
     reader = spark.read
     if fmt == "csv":
-        schema = T.StructType.fromJson(json.loads(spark.read.json(f"{target}.schema").first()["schema"]))
-        reader = reader.schema(schema).option("header", "true").option("mode", "FAILFAST")
+        reader = reader.schema(T.StructType.fromJson(schema)).option("header", "true").option("mode", "FAILFAST")
     df = reader.format(fmt).load(target)
     return df.drop("year_month") if "year_month" in df.columns else df
 
 
-def load_star(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Read the star's tables back (the marts' input); ``fact_orders`` is among them if it was saved."""
-    out = {name: load_table(spark, path, name, fmt) for name in STAR_TABLES}
-    if exists(spark, f"{path.rstrip('/')}/fact_orders"):
-        out["fact_orders"] = load_table(spark, path, "fact_orders", fmt)
-    return out
+def load_star(spark: SparkSession, path: str, fmt: str | None = None, version: str | None = None) -> dict[str, DataFrame]:
+    """The tables of the published version (the marts' input), ``fact_orders`` among them. The manifest is read once,
+    so all tables are of one version, also if another is published meanwhile. ``version`` names one that is
+    still kept instead."""
+    path = path.rstrip("/")
+    m = manifest(spark, path)
+    if m is None:
+        raise FileNotFoundError(f"{path}: no star is published here")
+    if fmt and fmt != m["format"]:
+        raise ValueError(f"{path}: the star is saved as {m['format']}, not {fmt}")
+    if version and version not in m["kept"]:
+        raise ValueError(f"{path}: version {version} is not kept; there are {', '.join(m['kept'])}")
+    return {name: _read(spark, f"{path}/{version or m['version']}/{name}", m["schemas"][name], m["format"]) for name in m["tables"]}
 
 
 def saved_snapshot(spark: SparkSession, path: str) -> str | None:
-    """The snapshot date that a saved star was built with, if it was stored."""
-    where = f"{path.rstrip('/')}/star_info"
-    return spark.read.json(where).first()["snapshot"] if exists(spark, where) else None
+    """The snapshot date that the published star was built with, if it was stored."""
+    m = manifest(spark, path)
+    return m["snapshot"] if m else None
+
+
+def save_as_tables(tables: Mapping[str, DataFrame], database: str = "default", fmt: str = "parquet") -> list[str]:
+    """X6 into the session's catalogue: a saved or built star as managed tables, dimensions first, counts checked."""
+    out = []
+    for name in [n for n in LOAD_ORDER if n in tables]:
+        df, seen = tables[name], Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).saveAsTable(f"{database}.{name}")
+        found = df.sparkSession.table(f"{database}.{name}").count()
+        if found != seen.get["n"]:
+            raise RuntimeError(f"{database}.{name}: {seen.get['n']} rows written, {found} read back")
+        out.append(f"{database}.{name}")
+    return out
+
+
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see the old or the new one whole: written aside, then renamed over it."""
+    fs, target = _fs(spark, path)
+    _, aside = _fs(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(aside), fs.makeQualified(target), options)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, on whatever file system the session reads."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+    fs, target = _fs(spark, path)
+    return bool(fs.exists(target))
