@@ -59,12 +59,26 @@ def test_empty_and_no_python(spark):
 
 def test_derived_messages(spark):
     rows = spark.createDataFrame([(1, 0, "user", 'say "hi"\n'), (1, 1, "assistant", "hi"), (1, 2, "user", None), (2, 1, "user", "x"),
-                                  (None, 0, "system", "s"), (None, 0, "user", "u")],
+                                  (None, 0, "system", "s"), (None, 1, None, "n"), (None, 2, "user", "u"), (None, 3, "assistant", "a")],
                                  "conv_id long, turn long, role string, text string")
-    out = {(r["conv_id"], r["turn"]): r for r in tc.link(tc.derived(rows), tc.REPLY).collect()}
+    out = {(r["conv_id"], r["turn"]): r for r in tc.link(tc.derived(rows), tc.DERIVED).collect()}
     assert out[1, 0]["status"] == "answered" and json.loads(out[1, 0]["json"])["arguments"]["text"] == 'say "hi"\n'
     assert out[1, 2]["level"] == 1 and out[1, 2]["errors"] == "missing chars,missing text"
-    assert out[2, 1]["errors"] == "dangling reference" and out[None, 0]["valid"]
+    assert out[2, 1]["errors"] == "dangling reference"              # the table has no turn 0 of it
+    # Every row takes part, whatever its role: what is no assistant's is a call.
+    assert len(out) == 6 and [out[None, t]["name"] for t in (0, 1, 2)] == ["instruct", "instruct", "reply"]
+    assert all(out[None, t]["valid"] for t in (0, 1, 2)) and out[None, 2]["status"] == "answered" and out[None, 2]["level"] == 1
+
+
+def test_no_row_of_the_table_is_left_out(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    out = tc.link(tc.derived(rows), tc.DERIVED)
+    asked = rows.where("role is null or role <> 'assistant'").count()
+    answers = rows.where("role = 'assistant'").count()
+    assert out.where("status <> 'orphan'").count() == asked
+    assert out.agg(F.sum("n_results")).first()[0] == answers        # one call an id here, so each result is counted once
+    begun = rows.where("turn = 0 and role <> 'assistant'").select("conv_id").distinct()
+    assert out.join(begun, "conv_id").where("errors like '%dangling%'").count() == 0
 
 
 def test_schema_types(spark):

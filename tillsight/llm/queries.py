@@ -52,7 +52,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return tool_calls.link(tool_calls.derived(rows), tool_calls.REPLY)
+    return tool_calls.link(tool_calls.derived(rows), tool_calls.DERIVED)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,11 +160,11 @@ def link(messages: DataFrame, schemas: Sequence[Field], **columns: str) -> DataF
     return done.unionByName(lost)
 
 
-# The conversations table has turns of plain text and no tool calls. The query derives them: a user turn
-# is a call of `reply`, referring to the call of the conversation's first turn; an assistant turn is
-# the result of the turn before it.
-REPLY = (Field("reply", "after", "string", False), Field("reply", "chars", "integer", True),
-         Field("reply", "text", "string", True), Field("reply", "turn", "integer", True))
+# The conversations table has turns of plain text and no tool calls. The query derives them from every row: a
+# user turn is a call of `reply`, a turn of any other role but `assistant` (system, null) a call of `instruct`,
+# both referring to the call of turn 0 from turn 1 on; an assistant turn is the result of the turn before it.
+DERIVED = tuple(Field(tool, field, kind, required) for tool in ("reply", "instruct") for field, kind, required in (
+    ("after", "string", False), ("chars", "integer", True), ("text", "string", True), ("turn", "integer", True)))
 
 
 def derived(conversations: DataFrame) -> DataFrame:
@@ -173,22 +173,23 @@ def derived(conversations: DataFrame) -> DataFrame:
     turn = F.col("turn")
     args = F.struct(F.when(turn > 0, F.concat(F.lit("$"), ident(F.lit(0)))).alias("after"), F.col("text"), turn,
                     F.length("text").alias("chars"))
-    call = F.to_json(F.struct(F.array(F.struct(ident(turn).alias("id"), F.lit("reply").alias("name"),
+    answer = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    tool = F.when(F.col("role") == "user", "reply").otherwise("instruct")
+    call = F.to_json(F.struct(F.array(F.struct(ident(turn).alias("id"), tool.alias("name"),
                                                args.alias("arguments"))).alias("tool_calls")))
     result = F.to_json(F.struct(ident(turn - 1).alias("tool_call_id"), F.col("text").alias("content")))
-    rows = conversations.where(F.col("role").isin("user", "assistant"))
-    return rows.select("conv_id", "turn",
-                       F.when(F.col("role") == "user", "assistant").otherwise("tool").alias("role"),
-                       F.when(F.col("role") == "user", call).otherwise(result).alias("text"))
+    return conversations.select("conv_id", "turn", F.when(answer, "tool").otherwise("assistant").alias("role"),
+                                F.when(answer, result).otherwise(call).alias("text"))
 
 
 #: DuckDB form of the op5 query.
 ORACLE = """
 WITH m AS (
   SELECT conv_id, turn, role, text, coalesce(CAST(conv_id AS VARCHAR), '') || ':' AS pre
-  FROM conversations WHERE role IN ('user', 'assistant')
+  FROM conversations
 ), calls AS (
-  SELECT conv_id, turn, text, pre || CAST(turn AS VARCHAR) AS call_id, pre || '0' AS root FROM m WHERE role = 'user'
+  SELECT conv_id, turn, text, pre || CAST(turn AS VARCHAR) AS call_id, pre || '0' AS root,
+         CASE WHEN role = 'user' THEN 'reply' ELSE 'instruct' END AS name FROM m WHERE role IS DISTINCT FROM 'assistant'
 ), results AS (
   SELECT conv_id, call_id, count(*) AS n_results, arg_min(text, turn) AS content, min(turn) AS turn
   FROM (SELECT conv_id, turn, text, pre || CAST(turn - 1 AS VARCHAR) AS call_id FROM m WHERE role = 'assistant')
@@ -200,13 +201,13 @@ WITH m AS (
   FROM calls c LEFT JOIN results r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.call_id = c.call_id
   LEFT JOIN ids i ON i.conv_id IS NOT DISTINCT FROM c.conv_id AND i.call_id = c.root
 )
-SELECT conv_id, call_id, CAST(CASE WHEN refers AND NOT loose THEN 1 ELSE 0 END AS INT) AS level, turn, 'reply' AS name,
+SELECT conv_id, call_id, CAST(CASE WHEN refers AND NOT loose THEN 1 ELSE 0 END AS INT) AS level, turn, name,
        CASE WHEN n_results IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
        CAST(coalesce(n_results, 0) AS BIGINT) AS n_results, NOT loose AS valid,
        CASE WHEN loose THEN 'dangling reference' ELSE '' END AS errors,
        '{"arguments":{' || CASE WHEN refers THEN '"after":' || CAST(to_json('$' || root) AS VARCHAR) || ',' ELSE '' END
          || '"chars":' || CAST(length(text) AS VARCHAR) || ',"text":' || CAST(to_json(text) AS VARCHAR)
-         || ',"turn":' || CAST(turn AS VARCHAR) || '},"id":' || CAST(to_json(call_id) AS VARCHAR) || ',"name":"reply"'
+         || ',"turn":' || CAST(turn AS VARCHAR) || '},"id":' || CAST(to_json(call_id) AS VARCHAR) || ',"name":"' || name || '"'
          || CASE WHEN content IS NULL THEN '' ELSE ',"result":' || CAST(to_json(content) AS VARCHAR) END || '}' AS json
 FROM linked
 UNION ALL
