@@ -8,12 +8,17 @@ different ones share a hash with probability of about 0.03).
 base score is exact); pairs of neighbouring tokens that occur at least `min_count` times (1: all of
 them) enter the filter: a pair of count c is inserted under levels 1..q with q = 1 + floor(log_BASE(c)),
 so a reader probes levels upwards until the first miss and takes the middle of the last level that
-answered. Beside the filter, every context has the discounted mass of its kept pairs, in units of
-1/UNITS: most contexts are rare, and a quantised mass would be as large as their count.
+answered. Every context is a token, and beside its count stands the mass of its kept pairs: the sum of
+their dequantised, discounted counts in units of 1/UNITS, so that the probabilities of a context add up
+to 1 whatever the quantisation did to its counts. (False positives of the filter add to that sum.)
 
 **Model**: absolute discounting with back-off to the smoothed token model,
 P(w|h) = max(E(h,w) - D, 0) / c(h) + (1 - M(h) / c(h)) * P0(w), P0(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
-with E and M from the filter; the share of kept mass is at most MOST. A text's first token has only P0.
+with E the middle of the filter's level and M(h) the stored mass. Where M(h) / c(h) exceeds MOST, the first
+term and the share are both scaled down to MOST. A text's first token has only P0.
+
+**Contexts** are known by the upper 47 bits of the token's hash: 31 in the pair's key, 16 carried beside it
+through the one shuffle of pairs. Of a billion different tokens about one in 140,000 shares its mass with another.
 
 **Segments.** Tables are cut by hash range into segments that are built inside tasks, each of
 bounded size. As many segments as fit into `broadcast_bytes` are broadcast at a time. Where all fit,
@@ -44,13 +49,15 @@ MIN_COUNT, DISCOUNT, MOST = 1, 0.75, 0.9
 UNITS = 4                       # DISCOUNT is a whole number of 1/UNITS
 INSERT = 1 << 20                # keys put into a filter at a time
 BROADCAST_BYTES = 192 << 20
-CHUNK = 2 << 20                 # bytes of text hashed at a time: a dozen arrays of 8 bytes a byte
+CHUNK = 1 << 20                 # bytes of text hashed at a time: a dozen arrays of 8 bytes a byte
 SEGMENT_TOKENS = 8_000_000      # training tokens a segment is sized for
 _rng = np.random.default_rng(20)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0x5851F42D4C957F2C)
 _ONE, _LOW = np.uint64(1), np.uint64(0xFFFFFFFF)
+_PREFIX = ~np.uint64((1 << 17) - 1)     # the bits of a token's hash that name it as a context
+_WIDE = 0xFFFFFFFF
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -86,19 +93,17 @@ def token_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def pair_hashes(h: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Key (an odd number) of (previous token, token) at every position, and whether there is a previous
-    one. The lower half of a key is the context's, so that the context of a counted pair is known
-    without being carried along."""
+    one. The lower half of a key is bits 17 to 47 of the context; `context_top` has the bits above."""
     has = np.zeros(len(h), bool)
     has[1:] = text[1:] == text[:-1]
     out = np.zeros(len(h), np.uint64)
-    out[1:] = _mix(h[:-1] * np.uint64(3) + h[1:] * _STEP) & ~_LOW | h[:-1] & _LOW | _ONE
+    out[1:] = _mix(h[:-1] * np.uint64(3) + h[1:] * _STEP) & ~_LOW | h[:-1] >> np.uint64(16) & _LOW | _ONE
     return out, has
 
 
-def _context(h: np.ndarray) -> np.ndarray:
-    """Key of a context's mass: the lower half of its pairs' keys, twice."""
-    c = h & _LOW | _ONE
-    return c << np.uint64(32) | c
+def context_top(h: np.ndarray) -> np.ndarray:
+    """The upper 16 bits of the previous token at every position."""
+    return np.concatenate([h[:1], h[:-1]]) >> np.uint64(48)
 
 
 def level(count: np.ndarray) -> np.ndarray:
@@ -112,25 +117,36 @@ def middle(q: np.ndarray) -> np.ndarray:
     return np.where(q > 0, (low + np.maximum(low, BASE * low - 1)) / 2, 0.0)
 
 
-def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """The values of ``asked`` by sorted ``keys``, 0 where there is none."""
-    if not len(keys):
-        return np.zeros(len(asked), np.int64)
-    at = np.searchsorted(keys, asked).clip(max=len(keys) - 1)
-    return np.where(keys[at] == asked, values[at], 0)
+class Narrow:
+    """Non-negative integers in 32 bits each, with a list of the few that need more."""
+
+    def __init__(self, values: np.ndarray):
+        self.low = np.minimum(values, _WIDE).astype(np.uint32)
+        self.at = np.flatnonzero(values >= _WIDE)
+        self.high = values[self.at].astype(np.int64)
+
+    def __getitem__(self, places: np.ndarray) -> np.ndarray:
+        out = self.low[places].astype(np.int64)
+        if len(self.at):
+            wide = np.flatnonzero(out == _WIDE)
+            out[wide] = self.high[np.searchsorted(self.at, places[wide])]
+        return out
 
 
 class Segment:
-    """Exact token counts, log-frequency filter of pairs and exact masses of contexts of one hash range."""
+    """Exact counts of tokens, their masses as contexts, and the log-frequency filter of pairs of one hash range."""
 
     def __init__(self, tokens: np.ndarray, counts: np.ndarray, keys: np.ndarray, levels: np.ndarray,
                  contexts: np.ndarray | None = None, masses: np.ndarray | None = None):
         order = np.argsort(tokens)
-        self.tokens, self.counts = tokens[order], counts[order].astype(np.int64)
-        contexts = tokens[:0] if contexts is None else contexts
-        order = np.argsort(contexts)
-        self.contexts = contexts[order]
-        self.masses = (counts[:0] if masses is None else masses)[order].astype(np.int64)
+        self.tokens, self.counts = tokens[order], Narrow(counts[order])
+        of = np.zeros(len(tokens), np.int64)
+        if contexts is not None and len(contexts):
+            order = np.argsort(contexts)
+            prefix = self.tokens & _PREFIX
+            at = np.searchsorted(contexts[order], prefix).clip(max=len(contexts) - 1)
+            of = np.where(contexts[order][at] == prefix, masses[order][at], 0)
+        self.masses = Narrow(of)
         self.size = max(64, int(levels.sum()) * BITS_AN_ENTRY)
         self.bits = np.zeros(-(-self.size // 8), np.uint8)
         for q in range(1, int(levels.max(initial=0)) + 1):
@@ -144,11 +160,17 @@ class Segment:
         b = _mix(a) | np.uint64(1)
         return [(a + b * np.uint64(j)) % np.uint64(self.size) for j in range(PROBES)]
 
+    def _of(self, values: Narrow, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.int64)
+        at = np.searchsorted(self.tokens, tokens).clip(max=len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, values[at], 0)
+
     def count(self, tokens: np.ndarray) -> np.ndarray:
-        return _found(self.tokens, self.counts, tokens)
+        return self._of(self.counts, tokens)
 
-    def mass(self, contexts: np.ndarray) -> np.ndarray:
-        return _found(self.contexts, self.masses, contexts)
+    def mass(self, tokens: np.ndarray) -> np.ndarray:
+        return self._of(self.masses, tokens)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Probe level after level until the first miss."""
@@ -223,22 +245,30 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
         for batch in chunks(batches, 0, CHUNK):
             h, at = token_hashes(batch.column(0))
             p, has = pair_hashes(h, at)
-            for keys in (h, p[has]):
-                u, n = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n.astype(np.int64))], names=["k", "n"])
-
-    seen = in_arrow(fed, count, "k bigint, n bigint")
+            top = context_top(h)[has]
+            p = p[has]
+            order = np.argsort(p)
+            p, top = p[order], top[order]
+            new = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (top[1:] != top[:-1])])) if len(p) else order
+            u, n = np.unique(h, return_counts=True)
+            for k, c, m in ((u, np.zeros(len(u)), n), (p[new], top[new], np.diff(np.append(new, len(p))))):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(m.astype(np.int64))], names=["k", "c", "n"])
+
+    seen = in_arrow(fed, count, "k bigint, c int, n bigint")
     # Most pairs occur once in the corpus, and they are kept (min_count 1): level 1 of the filter.
     # Keys are hashes, so no key decides the load; odd ones are pairs.
     kind = F.col("k").bitwiseAND(1)
-    summed = seen.groupBy("k").agg(F.sum("n").alias("n")).where((kind == 0) | (F.col("n") >= min_count))
-    summed = stored(summed.select(kind.cast("int").alias("kind"), "k", "n"), "lm-counts")
+    summed = seen.groupBy("k", "c").agg(F.sum("n").alias("n")).where((kind == 0) | (F.col("n") >= min_count))
+    summed = stored(summed.select(kind.cast("int").alias("kind"), "k", "c", "n"), "lm-counts")
     total = summed.where("kind = 0").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = int(total["n"] or 0), int(total["v"])
-    low = F.col("k").bitwiseAND(0xFFFFFFFF)
-    mass = (summed.where("kind = 1").groupBy(low.alias("c")).agg(F.sum(F.col("n") * UNITS - int(DISCOUNT * UNITS)).alias("m"))
-            .select(F.lit(2).alias("kind"), F.shiftleft("c", 32).bitwiseOR(F.col("c")).alias("k"),
-                    F.col("m").alias("n")))
+    # The context of a pair as a token's upper bits; what a pair of count n is worth when it is read back.
+    context = F.shiftleft(F.col("c").cast("bigint"), 48).bitwiseOR(F.shiftleft(F.col("k").bitwiseAND(0xFFFFFFFE), 16))
+    low = F.pow(F.lit(BASE), F.floor(F.log(BASE, F.col("n")) + 1e-9))
+    worth = F.round(((low + F.greatest(low, BASE * low - 1)) / 2 - DISCOUNT) * UNITS).cast("bigint")
+    mass = (summed.where("kind = 1").groupBy(context.alias("k")).agg(F.sum(worth).alias("n"))
+            .select(F.lit(2).alias("kind"), "k", "n"))
     n = max(1, -(-tokens // segment_tokens))
     # Segment of a hash: its upper 32 bits times n, shifted down, as segment_of() has it.
     seg = F.shiftrightunsigned(F.shiftrightunsigned("k", 32) * n, 32).cast("int")
@@ -294,8 +324,11 @@ def _sums(text: np.ndarray, n: int, known: np.ndarray, before: np.ndarray, pair:
     base = _log_base(known, tokens, distinct)
     p0 = 10.0 ** base
     context = np.maximum(before, 1)
-    share = np.where(before > 0, np.minimum(mass / UNITS / context, MOST), 0.0)
-    seen = np.where(before > 0, np.minimum(np.maximum(middle(pair) - DISCOUNT, 0) / context, MOST), 0.0)
+    whole = np.where(before > 0, mass / UNITS / context, 0.0)
+    share = np.minimum(whole, MOST)
+    scale = MOST / np.maximum(whole, MOST)
+    # A false positive may answer more than the whole context has.
+    seen = np.where(before > 0, np.minimum(np.maximum(middle(pair) - DISCOUNT, 0) / context * scale, MOST), 0.0)
     score = np.where(seen > 0, np.log10(seen + (1 - share) * p0), np.log10(1 - share) + base)
     return [pa.array(np.bincount(text, minlength=n).astype(np.int64)),
             pa.array(np.bincount(text, weights=known > 0, minlength=n).astype(np.int64)),
@@ -308,13 +341,12 @@ _OUT = [("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"),
 
 def _looked_up(t: Tables, h: np.ndarray, text: np.ndarray) -> list[np.ndarray]:
     p, has = pair_hashes(h, text)
-    known = t.resolve(h, Segment.count)
-    prev = np.concatenate([h[:1], h[:-1]])
+    # Counts and masses are asked once a distinct token of the chunk, not at every position.
+    u, at = np.unique(h, return_inverse=True)
+    known = t.resolve(u, Segment.count)[at]
     before = np.where(has, np.concatenate([[-1], known[:-1]]), 0)
     pair = np.where(has, t.resolve(p, Segment.levels), 0)
-    # The mass is asked once a distinct context of the chunk, not at every position.
-    u, at = np.unique(prev, return_inverse=True)
-    mass = np.where(has, t.resolve(_context(u), Segment.mass)[at], 0)
+    mass = np.where(has, np.concatenate([[-1], t.resolve(u, Segment.mass)[at][:-1]]), 0)
     return [known, before, pair, mass]
 
 
