@@ -59,7 +59,7 @@ def _mart(args) -> None:
     t = load_star(spark, args.star)
     # Without a saved order grain the marts aggregate the fact themselves.
     star = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
-                fact_orders=t.get("fact_orders"), snapshot=saved_snapshot(spark, args.star) or SNAPSHOT)
+                fact_orders=t.get("fact_orders"), order_bits=t.get("order_bits"), snapshot=saved_snapshot(spark, args.star) or SNAPSHOT)
     df = marts[args.name](star, **typed(marts[args.name], dict(p.split("=", 1) for p in (args.param or []))))
     if args.out:
         df.write.mode("overwrite").parquet(args.out)

@@ -34,6 +34,7 @@ class Star:
     fact_sales: DataFrame
     extras: dict = field(default_factory=dict)
     fact_orders: DataFrame | None = None
+    order_bits: DataFrame | None = None
     snapshot: str = SNAPSHOT
 
     def tables(self) -> dict[str, DataFrame]:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.numeric import round_money, round_to
+from tillsight.operators.distinct import merged_counts
 
 
 def orders(star) -> DataFrame:
@@ -25,6 +26,32 @@ def orders(star) -> DataFrame:
     return order_grain(star.fact_sales)
 
 
+def counted(star, by: list[str], n_of_orders: str, n_of_customers: str, aggs: list[Column],
+            calendar: list[str] | None = None, place: list[str] | None = None) -> DataFrame:
+    """Orders grouped by ``by`` (columns of the calendar or of the location) with ``aggs`` and the distinct numbers of
+    orders and customers.
+
+    Where the star has bitmaps, the numbers come from them and meet the sums by ``by``, one row a group; otherwise the
+    orders are counted. The calendar's ``year`` and ``month`` name a month's bitmaps, other columns follow from them."""
+    f = orders(star)
+    if calendar:
+        f = with_date(f, star.dim_date, *calendar)
+    if place:
+        f = with_location(f, star.dim_location, *place)
+    if getattr(star, "order_bits", None) is None:
+        return f.groupBy(*by).agg(n_orders().alias(n_of_orders), n_customers().alias(n_of_customers), *aggs)
+    on = [c for c in by if not calendar or c not in calendar or c in ("year", "month")]
+    bits = star.order_bits.withColumns({"year": F.floor(F.col("month_no") / 100).cast("int"),
+                                        "month": (F.col("month_no") % 100).cast("int")})
+    if place:
+        bits = with_location(bits, star.dim_location, *place)
+    counts = merged_counts(bits, on, **{n_of_orders: "order", n_of_customers: "customer"})
+    counts = counts.select(*[F.col(c).alias(f"_on_{c}") for c in on], n_of_orders, n_of_customers)
+    sums = f.groupBy(*by).agg(*aggs)
+    met = sums.join(counts, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on], "left").drop(*[f"_on_{c}" for c in on])
+    return met.fillna(0, [n_of_orders, n_of_customers])
+
+
 def with_date(fact: DataFrame, dim_date: DataFrame, *cols: str) -> DataFrame:
     return fact.join(F.broadcast(dim_date.select("date_key", *cols)), "date_key")
 

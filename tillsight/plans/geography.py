@@ -10,7 +10,7 @@ from tillsight.functions.numeric import pct, round_money
 from tillsight.operators.ranking import ranked_top
 from tillsight.operators.star import Star
 from tillsight.oracle import sql as O
-from tillsight.plans.common import (bigint_cols, money_sum, n_customers, n_orders, order_value_avg, orders,
+from tillsight.plans.common import (bigint_cols, counted, money_sum, n_customers, n_orders, order_value_avg, orders,
                                     units, with_customer, with_date, with_location)
 
 
@@ -20,11 +20,10 @@ def _rank_desc(c: str, *part: str):
 
 def by_region(star: Star) -> DataFrame:
     """G1."""
-    f = with_location(orders(star), star.dim_location, "region", "country")
-    g = f.groupBy("region").agg(F.count_distinct("country").alias("country_count"),
-                                n_orders().alias("order_count"), n_customers().alias("unique_customers"),
-                                F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
-                                order_value_avg().alias("avg_order_value"))
+    g = counted(star, ["region"], "order_count", "unique_customers", [
+        F.count_distinct("country").alias("country_count"),
+        F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
+        order_value_avg().alias("avg_order_value")], place=["region", "country"])
     g = (g.withColumn("revenue_rank", _rank_desc("_rev"))
           .withColumn("revenue_share_pct", pct("_rev", F.sum("_rev").over(Window.partitionBy())))
           .withColumn("total_revenue", round_money("_rev")))
@@ -35,11 +34,9 @@ def by_region(star: Star) -> DataFrame:
 
 def by_country(star: Star) -> DataFrame:
     """Global and regional ranks and shares."""
-    f = with_location(orders(star), star.dim_location, "region", "country")
-    g = f.groupBy("region", "country").agg(
-        n_orders().alias("order_count"), n_customers().alias("unique_customers"),
+    g = counted(star, ["region", "country"], "order_count", "unique_customers", [
         F.sum("revenue").alias("_rev"), money_sum("profit").alias("total_profit"),
-        order_value_avg().alias("avg_order_value"), units().alias("total_units_sold"))
+        order_value_avg().alias("avg_order_value"), units().alias("total_units_sold")], place=["region", "country"])
     g = (g.withColumn("global_rank", _rank_desc("_rev"))
           .withColumn("region_rank", _rank_desc("_rev", "region"))
           .withColumn("global_revenue_share_pct", pct("_rev", F.sum("_rev").over(Window.partitionBy())))
@@ -53,10 +50,8 @@ def by_country(star: Star) -> DataFrame:
 
 def top_markets(star: Star, k: int = 10) -> DataFrame:
     """Top k countries (ties at the cut broken by country)."""
-    f = with_location(orders(star), star.dim_location, "region", "country")
-    g = f.groupBy("country", "region").agg(
-        n_customers().alias("unique_customers"), n_orders().alias("order_count"),
-        F.sum("revenue").alias("_rev"), order_value_avg().alias("avg_order_value"))
+    g = counted(star, ["country", "region"], "order_count", "unique_customers", [
+        F.sum("revenue").alias("_rev"), order_value_avg().alias("avg_order_value")], place=["region", "country"])
     top = ranked_top(g, [("_rev", False), ("country", True)], k, "_rev", "revenue_rank")
     top = top.withColumn("total_revenue", round_money("_rev"))
     return bigint_cols(top.select("country", "region", "unique_customers", "order_count", "total_revenue",

@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.functions.numeric import growth_pct, pct, round_to
+from tillsight.functions.numeric import growth_pct, pct, ratio, round_to
 from tillsight.operators.ranking import top_k
 from tillsight.operators.star import Star
 from tillsight.oracle import sql as O
-from tillsight.plans.common import (bigint_cols, money_sum, n_customers, n_orders, order_value_avg,
+from tillsight.plans.common import (bigint_cols, counted, money_sum, n_customers, n_orders, order_value_avg,
                                     orders, with_date)
 
 _UNB = Window.unboundedPreceding
@@ -18,12 +18,11 @@ _UNB = Window.unboundedPreceding
 
 def monthly(star: Star) -> DataFrame:
     """Per (year, month): orders, customers, revenue (exact, rounded), profit, line-weighted AOV."""
-    f = with_date(orders(star), star.dim_date, "year", "month", "month_name")
-    return f.groupBy("year", "month", "month_name").agg(
-        n_orders().alias("order_count"), n_customers().alias("unique_customers"),
+    month = ["year", "month", "month_name"]
+    return counted(star, month, "order_count", "unique_customers", [
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         money_sum("profit").alias("total_profit"),
-        order_value_avg().alias("avg_order_value"))
+        order_value_avg().alias("avg_order_value")], calendar=month)
 
 
 def monthly_growth(star: Star) -> DataFrame:
@@ -44,13 +43,12 @@ def monthly_growth(star: Star) -> DataFrame:
 
 
 def annual(star: Star) -> DataFrame:
-    f = with_date(orders(star), star.dim_date, "year")
-    return f.groupBy("year").agg(
-        n_orders().alias("total_orders"), n_customers().alias("total_customers"),
+    a = counted(star, ["year"], "total_orders", "total_customers", [
+        F.sum("revenue").alias("_rev"),
         F.round(F.sum("revenue"), 2).alias("total_revenue"),
         F.round(F.sum("profit"), 2).alias("total_profit"),
-        order_value_avg().alias("avg_order_value"),
-        round_to(F.sum("revenue").cast("double") / F.count_distinct("customer_key"), 2).alias("revenue_per_customer"))
+        order_value_avg().alias("avg_order_value")], calendar=["year"])
+    return a.withColumn("revenue_per_customer", ratio("_rev", "total_customers", 2)).drop("_rev")
 
 
 def annual_summary(star: Star) -> DataFrame:

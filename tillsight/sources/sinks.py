@@ -26,7 +26,9 @@ from tillsight.schemas import STAR_TABLES
 
 # Dimensions before the fact, as the reference loads them (foreign keys point at dimensions). The order
 # grain comes last and is replaced with the fact, so the two never disagree.
-LOAD_ORDER = [*STAR_TABLES, "fact_orders"]
+# The bitmaps of its keys follow where they can be stored: numbered customers, and a format with binary columns.
+ORDER_BITS = "order_bits"
+LOAD_ORDER = [*STAR_TABLES, "fact_orders", ORDER_BITS]
 
 
 AUDIT = "created_at"
@@ -75,6 +77,7 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
     it by swapping the manifest; returns the tables' folders. Re-runnable: every save is a full replace. The order
     grain is aggregated from the fact as written; ``snapshot`` goes into the manifest. CSV files have a header, and
     the manifest holds every table's schema for reading them back. ``keep`` versions stay, this one included."""
+    from tillsight.operators.distinct import dense, order_bitmaps, with_order_no
     from tillsight.operators.star import order_grain
 
     path = path.rstrip("/")
@@ -85,7 +88,11 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
     for name in LOAD_ORDER:
         target, part = f"{path}/{version}/{name}", None
         if name == "fact_orders":
-            df = order_grain(_read(spark, out["fact_sales"], schemas["fact_sales"], fmt))
+            df = with_order_no(order_grain(_read(spark, out["fact_sales"], schemas["fact_sales"], fmt)))
+        elif name == ORDER_BITS:
+            if fmt == "csv" or not dense(_read(spark, out["dim_customer"], schemas["dim_customer"], fmt), "customer_key"):
+                continue
+            df = order_bitmaps(_read(spark, out["fact_orders"], schemas["fact_orders"], fmt))
         else:
             df = tables[name].drop(AUDIT)
         if name == "fact_sales":
@@ -94,13 +101,13 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
             if partition_fact_by_month:
                 df = df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
                 part = ["year_month"]
-        if name != "fact_orders":
+        if name in STAR_TABLES:
             df = df.withColumn(AUDIT, F.lit(now).cast("timestamp_ntz"))
         counts[name] = checked_write(df, target, fmt, part, max_records_per_file)
         out[name], schemas[name] = target, json.loads(df.drop("year_month").schema.json())
     before = manifest(spark, path)
     _put(spark, f"{path}/{MANIFEST}", json.dumps({
-        "version": version, "format": fmt, "tables": LOAD_ORDER, "schemas": schemas, "counts": counts, "snapshot": snapshot,
+        "version": version, "format": fmt, "tables": list(out), "schemas": schemas, "counts": counts, "snapshot": snapshot,
         "created_at": now.isoformat(), "kept": [version, *(before["kept"] if before else [])][:keep]}))
     for old in (before["kept"] if before else [])[keep - 1:]:
         _delete(spark, f"{path}/{old}")

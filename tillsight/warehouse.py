@@ -67,7 +67,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             entry = Star(t["dim_customer"], t["dim_product"], t["dim_date"], t["dim_location"], t["fact_sales"],
                          extras={"cleaned": built.extras["cleaned"], "lines": built.extras["lines"],
                                  "scored": built.extras["scored"], "path": path},
-                         fact_orders=t["fact_orders"], snapshot=built.snapshot)
+                         fact_orders=t["fact_orders"], order_bits=t.get("order_bits"), snapshot=built.snapshot)
             _CACHE[key] = entry
     return entry
 
