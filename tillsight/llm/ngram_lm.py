@@ -106,6 +106,16 @@ def context_top(h: np.ndarray) -> np.ndarray:
     return np.concatenate([h[:1], h[:-1]]) >> np.uint64(48)
 
 
+def _release() -> None:
+    """Give memory that a task has freed back to the system: workers live on, and scoring starts beside them."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def level(count: np.ndarray) -> np.ndarray:
     """Quantised count: 1 + floor(log_BASE(count))."""
     return 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(BASE) + 1e-9).astype(np.int64)
@@ -242,6 +252,10 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     fed = docs.where(usable).select(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("t"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from counted(batches)
+        _release()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, 0, CHUNK):
             h, at = token_hashes(batch.column(0))
             p, has = pair_hashes(h, at)
@@ -308,6 +322,8 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
                 held.append(parts_of(batch.slice(int(a), int(b - a))))
         if held:
             yield made(now, held)
+        held = batch = which = None
+        _release()
 
     segments = stored(in_arrow(parts, build, "segment int, bytes bigint, body binary"), "lm-segments")
     sizes = {r["segment"]: r["bytes"] for r in segments.select("segment", "bytes").collect()}   # n rows
