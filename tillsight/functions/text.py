@@ -20,15 +20,25 @@ def strip(c: Column | str) -> Column:
     return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(PY_WHITESPACE))
 
 
+# Letters with case, by their Unicode properties: what Python's str.title starts and continues a word on.
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
+
+
 def title_case(c: Column | str) -> Column:
-    """Python ``str.title``: upper-case the first letter of every run of letters, lower the rest.
+    """Python ``str.title``: the first letter of every run of cased letters gets its title case, the rest lower case.
 
-    ``initcap`` only capitalises after spaces; here a run starts after any non-letter, so
-    ``cote d'ivoire`` becomes ``Cote D'Ivoire`` and ``nation_0`` becomes ``Nation_0``.
+    ``initcap`` only capitalises after spaces; here a run starts after anything without case, so
+    ``cote d'ivoire`` becomes ``Cote D'Ivoire``, and a letter after an ideograph starts one too. ``initcap`` of a single
+    letter is its full title mapping (sharp s gives ``Ss``). A capital sigma is judged final within its run.
     """
     col = F.col(c) if isinstance(c, str) else c
-    runs = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    capped = F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.right(x, F.length(x) - 1)))
+    runs = F.regexp_extract_all(col, F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), 1)
+    def cap(x: Column) -> Column:
+        # The tail is lowered behind a letter, as it stands in the text: that decides a capital sigma's form.
+        tail = F.lower(F.concat(F.lit("a"), F.right(x, F.length(x) - 1)))
+        return F.concat(F.initcap(F.substring(x, 1, 1)), F.right(tail, F.length(tail) - 1))
+
+    capped = F.transform(runs, cap)
     return F.when(col.isNull(), F.lit(None)).otherwise(F.array_join(capped, ""))
 
 
