@@ -35,8 +35,8 @@ def test_date_and_location_dimensions_are_broadcast(spark):
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(E.queries()["by_region"](spark, SF001))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", _explain(E.queries()["by_region"](spark, SF001)))
-    fact = [s for s in schemas if "invoice_id" in s]
-    assert fact and all("date_key" not in s for s in fact), schemas
+    fact = [s for s in schemas if "order_value" in s]      # the orders: their ids are counted from bitmaps
+    assert fact and all("date_key" not in s and "invoice_id" not in s for s in fact), schemas
     assert "Scan" in plan or "FileScan" in plan
 
 
