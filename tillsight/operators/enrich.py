@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
-from tillsight.operators.joins import lookup_join
+from tillsight.operators.joins import Hot, lookup_join
 from tillsight.operators.keys import invoice_grain, part_of
 from tillsight.operators.ranking import quantile_bins
 
@@ -21,7 +21,7 @@ MARGIN = 0.4            # fixed value: assumed profit margin
 SNAPSHOT = "2012-01-01"  # reference default; a parameter everywhere
 
 
-def enrich_money(df: DataFrame, margin: float = MARGIN) -> DataFrame:
+def enrich_money(df: DataFrame, margin: float = MARGIN, hot_invoices: Hot | None = None) -> DataFrame:
     """revenue = round(qty × price, 2) half-up; discount 0.0; profit = round(margin × revenue,
     2); order_value = the invoice's total of cleaned revenue (null for a null invoice).
 
@@ -32,7 +32,7 @@ def enrich_money(df: DataFrame, margin: float = MARGIN) -> DataFrame:
     df = df.withColumn("discount", F.lit(0.0))
     df = df.withColumn("profit", money(F.col("revenue") * F.lit(margin).cast("decimal(3,2)")))
     totals = df.groupBy("invoice").agg(F.sum("revenue").cast("decimal(18,2)").alias("order_value"))
-    return lookup_join(df, totals, ["invoice"])
+    return lookup_join(df, totals, ["invoice"], hot=hot_invoices)
 
 
 def with_date_parts(df: DataFrame, ts: str = "invoice_ts") -> DataFrame:

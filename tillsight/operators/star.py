@@ -9,7 +9,7 @@ the join into a broadcast only when the measured side is below its threshold).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -19,12 +19,16 @@ from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFE
                                           REFERENCE_REGION_RULES, classify, region_from_table, region_of)
 from tillsight.operators.clean import clean
 from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
-from tillsight.operators.joins import lookup_join
+from tillsight.operators.joins import Hot, heavy_keys, lookup_join
 from tillsight.operators.keys import APPEARANCE, first_seen, invoice_grain, surrogate_key
 from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
 
 
+# The keys that lines are joined on.
+LINE_KEYS = {"invoice": ["invoice"], "customer": ["customer_id"], "product": ["stock_code"]}
+
+
 @dataclass
 class Star:
     dim_customer: DataFrame
@@ -107,16 +111,18 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
     return keyed.select(*DIM_LOCATION_COLUMNS)
 
 
-def fact_sales(lines: DataFrame, dc: DataFrame, dp: DataFrame, dl: DataFrame) -> DataFrame:
+def fact_sales(lines: DataFrame, dc: DataFrame, dp: DataFrame, dl: DataFrame,
+               hot: Mapping[str, Hot] | None = None) -> DataFrame:
     """Lines with the three dimension keys (date key is computed) and the measures, at the source's
     precision. The product join is paid here, so the product's category comes along with its key and no
-    mart has to join the lines with the products again."""
+    mart has to join the lines with the products again. ``hot`` has the hot keys by name (``LINE_KEYS``)."""
+    hot = hot or {}
     # Null-safe keys: a null stock code survives cleaning and must find its own product row.
     # Locations are one row per distinct country text; Spark broadcasts them by their measured size.
     loc = dl.select(F.col("country").alias("_loc_nat"), "location_key")
-    f = lookup_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"])
+    f = lookup_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"], hot=hot.get("customer"))
     f = lookup_join(f, dp.select("product_id", "product_key", "category"), ["stock_code"], ["product_id"],
-                    null_safe=True)
+                    null_safe=True, hot=hot.get("product"))
     f = f.join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left")
     return f.select(F.col("invoice").alias("invoice_id"), "customer_key", "product_key", "date_key",
                     "location_key", "quantity", F.col("price").alias("unit_price"),
@@ -140,7 +146,9 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     cleaned = clean(raw, cfg.dedup_order)
     if persist:
         cleaned = materialize(cleaned, "cleaned")  # T1's output, also served by the etl_clean query
-    lines = with_date_parts(enrich_money(cleaned, cfg.margin))
+    # One pass over the written lines finds the hot keys of the three line joins.
+    hot = heavy_keys(cleaned, LINE_KEYS) if persist else {}
+    lines = with_date_parts(enrich_money(cleaned, cfg.margin, hot.get("invoice")))
     if persist:
         lines = materialize(lines, "lines")
     metrics = rfm(lines, cfg.snapshot)
@@ -155,6 +163,6 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     if persist:
         dc, dp, dl = materialize(dc, "dim_customer"), materialize(dp, "dim_product"), materialize(dl, "dim_location")
     dd = dim_date(lines)
-    fact = fact_sales(lines, dc, dp, dl)
+    fact = fact_sales(lines, dc, dp, dl, hot)
     return Star(dc, dp, dd, dl, fact, extras={"cleaned": cleaned, "lines": lines, "scored": scored},
                 snapshot=cfg.snapshot)
