@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +33,13 @@ LOAD_ORDER = [*STAR_TABLES, "fact_orders", ORDER_BITS]
 
 AUDIT = "created_at"
 SALE_ID = "sale_id"
+POINT_KEYS = ["customer_key", "product_key"]     # equality on these is answered by Bloom filters
 MANIFEST = "manifest.json"      # readable by Spark: no underscore in front
 
 
 def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Range-partition by (date_key, customer_key) and sort within each file, so Parquet min/max
-    statistics prune date predicates (the warehouse's CLUSTER BY). Invoice and product follow as range
+    statistics prune date predicates (the warehouse's CLUSTER BY); ``key_filters`` prune by customer and product. Invoice and product follow as range
     keys, so one customer's busy day can be split as well; the other columns only settle the order of ties."""
     n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["date_key", "customer_key", "invoice_id", "product_key"]
@@ -51,11 +52,20 @@ def with_sale_id(fact: DataFrame) -> DataFrame:
     return fact.select((F.monotonically_increasing_id() + 1).alias(SALE_ID), *rest)
 
 
+def key_filters(columns: Sequence[str]) -> dict[str, str]:
+    """X7's second key: Parquet write options for a Bloom filter of each column in every row group, sized by the
+    values it holds (up to the format's limit of 1 MB). Min/max statistics of these columns span nearly all
+    keys within a date range, so an equality on one of them is answered by its filter, or by its
+    dictionary where the column has one throughout."""
+    return {"parquet.bloom.filter.adaptive.enabled": "true",
+            **{f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}}
+
+
 def checked_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                  max_records_per_file: int | None = None) -> int:
+                  max_records_per_file: int | None = None, options: Mapping[str, str] | None = None) -> int:
     """Write (full replace), read back and compare the row counts; returns the count."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).options(**(options or {}))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -103,7 +113,9 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
                 part = ["year_month"]
         if name in STAR_TABLES:
             df = df.withColumn(AUDIT, F.lit(now).cast("timestamp_ntz"))
-        counts[name] = checked_write(df, target, fmt, part, max_records_per_file)
+        points = [c for c in POINT_KEYS if c in df.columns] if name in ("fact_sales", "fact_orders") and fmt == "parquet" else []
+        filters = key_filters(points) if points else None
+        counts[name] = checked_write(df, target, fmt, part, max_records_per_file, filters)
         out[name], schemas[name] = target, json.loads(df.drop("year_month").schema.json())
     before = manifest(spark, path)
     _put(spark, f"{path}/{MANIFEST}", json.dumps({
