@@ -85,6 +85,31 @@ def test_large_budget_in_bounded_cells():
     assert (got <= counts).all() and abs(int((got * sizes).sum()) - 12_345_677) <= 1
 
 
+def test_documents_longer_than_the_table():
+    two = np.array([2_200_000])
+    assert mixing.fit(two, np.array([2]), 3_700_000).tolist() == [2]
+    assert mixing.fit(two, np.array([2]), 3_200_000).tolist() == [1]
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        cells = 64
+        sizes = np.unique(rng.integers(cells // 4, 40 * cells, int(rng.integers(1, 5))))
+        counts = rng.integers(1, 4, len(sizes))
+        budget = int(rng.integers(0, int((sizes * counts).sum()) + 1))
+        got = mixing.fit(sizes, counts, budget, cells)
+        assert (got >= 0).all() and (got <= counts).all()
+        # What fit() leaves to the last step is filled as well as any choice can.
+        off = abs(int((got * sizes).sum()) - budget)
+        assert off <= max(sizes) / 2 + 1
+    for _ in range(300):
+        sizes = np.unique(rng.integers(51, 300, int(rng.integers(1, 6))))
+        counts, budget = rng.integers(0, 4, len(sizes)), int(rng.integers(1, 102))
+        sums = {0}
+        for z, c in zip(sizes.tolist(), counts.tolist(), strict=True):
+            sums = {s + k * z for s in sums for k in range(c + 1)}
+        got = mixing.one_or_two(sizes, counts, budget)
+        assert (got <= counts).all() and abs(int((got * sizes).sum()) - budget) == min(abs(s - budget) for s in sums)
+
+
 def test_apply_mix_repeats_rows(spark):
     docs = documents(spark)
     plan = {r["doc_id"]: r["repeats"] for r in mixing.mix(docs).collect()}

@@ -9,7 +9,8 @@
 3. **Budget fitting.** A source gives floor(target / words) whole repeats; the rest of the budget is
    filled from its length histogram: the same share of every length first, longest lengths topped up, then a
    bounded-knapsack dynamic program over the lengths left picks the subset whose sum is nearest
-   to what remains. The program's table holds at most `cells` sums.
+   to what remains. The program's table holds at most twice `cells` sums; a larger remainder only stays where all
+   documents left exceed half of it, and then one or two of them are chosen directly.
 4. **Selection** by length count: of a (source, size) as many documents as the fit says, in the order of
    a seeded hash of doc_id. Hash buckets are counted first, so only one bucket of a length is
    ranked row by row, and no length, however frequent, is sorted in one task.
@@ -73,7 +74,8 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, cells: int = CELLS)
     take += counts * budget // total if total < 1 << 31 else (counts * (budget / total)).astype(np.int64)
     left = budget - int((sizes * take).sum())
     order = np.argsort(-sizes)
-    # Top up with the longest that fit, but leave room for the program to choose from.
+    # Top up with the longest that fit, but leave room for the program to choose from. If more than `cells` stays,
+    # no size that is left fits into it less half the room: each exceeds half of it.
     room = min(cells, max(1024, 2 * int(sizes.max())))
     for i in order:
         if left <= room:
@@ -81,13 +83,27 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, cells: int = CELLS)
         k = min(int(counts[i] - take[i]), max(0, (left - room // 2) // int(sizes[i])))
         take[i] += k
         left -= k * int(sizes[i])
-    return take + subset_sum(sizes, counts - take, min(left, cells))
+    rest = counts - take
+    return take + (one_or_two(sizes, rest, left) if left > cells else subset_sum(sizes, rest, left))
+
+
+def one_or_two(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """The same for a budget that every size exceeds the half of, without a table: none, one or two documents.
+    Two add up to more than the budget, so the two shortest are the nearest pair, and a third only leads away."""
+    order = [int(i) for i in np.argsort(sizes) if counts[i] > 0]
+    pair = [i for i in order[:2] for _ in range(int(min(counts[i], 2)))][:2]
+    best = min([[], *([i] for i in order), pair], key=lambda ids: (abs(sum(int(sizes[i]) for i in ids) - budget),
+                                                                 sum(int(sizes[i]) for i in ids)))
+    take = np.zeros(len(sizes), np.int64)
+    np.add.at(take, best, 1)
+    return take
 
 
 def subset_sum(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Bounded knapsack: counts per size whose sum is nearest to ``budget`` (ties: below it)."""
     take = np.zeros(len(sizes), np.int64)
-    reach_to = budget + int(max(sizes[counts > 0], default=0))       # one step above may be nearer
+    # One step above may be nearer, but what lies beyond twice the budget is farther than nothing at all.
+    reach_to = budget + min(budget, int(max(sizes[counts > 0], default=0)))
     item_of = np.full(reach_to + 1, -1, np.int32)     # which item first reached a sum
     reached = np.zeros(reach_to + 1, bool)
     reached[0] = True
