@@ -56,6 +56,71 @@ def test_notices_tolerate_small_changes(spark):
     assert rows[3]["labels"] == "" and rows[4]["labels"] == "" and rows[3]["score"] == 0.0
 
 
+def test_notices_with_long_insertions(spark):
+    words = ls.NOTICES["mit"][0].split()
+    cuts = [([16, 33], 4), ([10, 25, 40], 7), ([24], 30), ([5, 15, 25, 35, 45], 5)]
+    cases = []
+    for at, n in cuts:
+        w = list(words)
+        for i in sorted(at, reverse=True):
+            w[i:i] = [f"filler{i}x{j}" for j in range(n)]
+        cases.append(" ".join(["intro"] * 9 + w + ["outro"] * 9))
+    cases.append(" ".join(words[:20] + ["far"] * 400 + words[20:]))          # farther apart than the template is long
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in ls.scan(docs).collect()}
+    assert [rows[i]["labels"] for i in range(len(cuts))] == ["mit"] * len(cuts)
+    assert all(rows[i]["score"] == 1.0 for i in range(len(cuts)))
+    assert rows[len(cuts)]["labels"] == ""
+
+
+def brute_labels(text, min_score=ls.MIN_SCORE):
+    """Labels by the definition: an ordered match in any window of two template lengths."""
+    w, out = ls.words_of((text or "").encode()), set()
+    for t in ls.templates():
+        n = len(t.words)
+        if t.phrase:
+            out |= {t.label for i in range(len(w) - n + 1) if w[i:i + n] == t.words}
+        elif any(ls.verified(w[i:i + 2 * n], t, 0, n) >= min_score for i in range(max(1, len(w) - n // 2))):
+            out.add(t.label)
+    return ",".join(sorted(out))
+
+
+def test_method_labels_against_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    common = "the software to any of this license use and in source code for free public".split()
+    cases = []
+    for t in ls.templates():
+        if t.phrase:
+            continue
+        n = len(t.words)
+        spare = int(n * (1 - ls.MIN_SCORE) + 1e-9)
+        for changes in {0, spare // 2, spare, 2 * spare + 2}:
+            w = [x.decode() for x in t.words]
+            for i in sorted(rng.sample(range(1, n - 1), min(changes, n - 2)), reverse=True):
+                kind = rng.randrange(3)
+                if kind == 0:
+                    del w[i]
+                elif kind == 1:
+                    w[i] = f"junk{i}"
+                else:
+                    w[i:i] = [f"more{i}"] * rng.randrange(1, 3)
+            cases.append((changes <= spare, " ".join(rng.choices(common, k=30) + w + rng.choices(common, k=30))))
+        cases.append((False, " ".join(rng.choices([x.decode() for x in t.words], k=3 * n))))
+    docs = spark.createDataFrame([(i, c) for i, (_, c) in enumerate(cases)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["labels"] for r in ls.scan(docs).collect()}
+    for i, (bounded, text) in enumerate(cases):
+        want, got = (set(filter(None, x.split(","))) for x in (brute_labels(text), rows[i]))
+        assert got == want if bounded else got <= want, text      # beyond B changes a match may be missed
+
+
+def test_texts_are_not_shuffled(spark):
+    """The spans are broadcast by the size of their table: no exchange carries a text."""
+    plan = ls.scan(documents(spark).select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan, plan
+
+
 def test_verified_is_ordered():
     t = ls.Template(0, "x", [b"a", b"b", b"c", b"d"], False)
     assert ls.verified([b"a", b"x", b"b", b"c", b"d"], t, 0, 1) == 1.0

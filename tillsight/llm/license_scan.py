@@ -5,12 +5,17 @@
 2. A match of text place p with template place q votes for the diagonal p - q of its (text,
    template). All votes of an uninterrupted copy fall on one diagonal.
 3. Neighbouring diagonals (inserted or dropped words shift a copy by a few places) are merged by a
-   session window over the diagonals of one (text, template); matched template words are counted
-   over the merged group.
+   session window over the diagonals of one (text, template). Longer insertions leave groups apart: from each group
+   on, the template words matched by all groups within one template length of it are counted together.
 4. Spans with enough votes are verified on the words of the text itself: only texts with a span are read
    again. A phrase must stand word for word; a longer template needs an ordered match (longest common
    subsequence) of at least `min_score` of its words.
 
+**Enough votes** follows from `min_score`. A notice of n words may lack B = floor(n (1 - min_score)) of them. B changes
+(a word dropped or replaced, or an insertion of any length that fits into a template length) cut a copy into at most
+B + 1 pieces, and a piece shorter than K has no run: at least n - B - (K - 1)(B + 1) words are covered by votes,
+and every span with that many (one run at least) is verified. A copy with more changes than B may be missed, whatever its ordered match.
+
 Texts are known by (doc_id, hash of the text) in between, so repeated rows share their spans.
 
 Defined cases: null and empty texts have no word, no label and score 0; repeated rows get the same
@@ -27,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, in_arrow, without
+from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, in_arrow, stored, without
 from tillsight.llm.ngram_lm import _BYTE, _STEP, _mix, _powers
 
 K = 3
@@ -170,10 +175,20 @@ def spans(docs: DataFrame, ts: list[Template], *, text: str = "text", doc_id: st
     # A group's template places are at most the template's, however many diagonals it merges.
     merged = lines.withColumn("q", F.explode("qs")).groupBy("doc", "key", "template", "label", "phrase", "size", "group").agg(
         F.min("diagonal").alias("low"), F.max("diagonal").alias("high"), F.collect_set("q").alias("qs"))
+    # What lies within a template length of a group's first diagonal: as many groups as the template has words at most.
+    near = F.filter(F.collect_list(F.struct("low", "high", "qs")).over(
+        Window.partitionBy("doc", "key", "template").orderBy("low").rangeBetween(0, max(len(t.words) for t in ts))),
+        lambda g: ~F.col("phrase") & (g["low"] <= F.col("low") + F.col("size")) | (g["low"] == F.col("low")))
+    merged = merged.withColumn("near", near).select(
+        "doc", "key", "template", "phrase", "size", "low", F.array_max(F.transform("near", lambda g: g["high"])).alias("high"),
+        F.flatten(F.transform("near", lambda g: g["qs"])).alias("qs"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("qs", lambda q: F.sequence(q, q + K - 1)))))
-    likely = merged.where(covered >= F.when(F.col("phrase"), F.col("size")).otherwise(F.ceil(F.col("size") * min_score * 0.6)))
-    # Read the texts that have a span again, and verify on their words.
-    bag = likely.groupBy("doc", "key").agg(F.collect_list(F.struct("template", "low", "high")).alias("found"))
+    lacking = F.floor(F.col("size") * F.lit(1 - min_score) + F.lit(1e-9))
+    enough = F.greatest(F.lit(K), F.col("size") - lacking - (K - 1) * (lacking + 1))
+    likely = merged.where(covered >= F.when(F.col("phrase"), F.col("size")).otherwise(enough))
+    # Read the texts that have a span again, and verify on their words. A written table has a known size: the texts
+    # are only shuffled to meet spans that are too many to broadcast.
+    bag = stored(likely.groupBy("doc", "key").agg(F.collect_list(F.struct("template", "low", "high")).alias("found")), "license-spans")
     again = keyed.join(
         bag.withColumnsRenamed({"doc": "d", "key": "k"}), F.col("doc").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")))
     fed = again.select("doc", "key", F.col("text").cast("binary").alias("text"), "found")
@@ -223,10 +238,10 @@ def scan(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", phrases
     found = spans(docs, ts, text=text, doc_id=doc_id, min_score=min_score)
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     base = F.when(F.col("phrase"), F.col("start"))
-    bag = found.groupBy("doc", "key").agg(
+    bag = stored(found.groupBy("doc", "key").agg(
         F.count(base).alias("n_base"), F.min(base).alias("first_word"), F.max(base).alias("last_word"),
         joined(F.when(F.col("phrase"), F.col("label"))).alias("base_labels"), joined("label").alias("labels"),
-        F.max("score").alias("score"))
+        F.max("score").alias("score")), "license-labels")
 
     def count(col: pa.Array) -> list[pa.Array]:
         buf, offs = buffers(col)
