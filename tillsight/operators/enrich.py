@@ -1,20 +1,21 @@
 """T2–T7, T16 — money columns, date parts, RFM metrics and scores, segments.
 
-Shuffles at line grain: one aggregation per invoice (order value), joined back. Everything
+Shuffles at line grain: one by invoice, which dedups the lines and gives the order value. Everything
 per customer is an aggregation (partial aggregation first), and the scores rank customers with
 ``ranking.sequence``, never in a single partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.classify import segment
 from tillsight.functions.dates import date_parts, recency_days
 from tillsight.functions.numeric import money
+from tillsight.operators.clean import by_invoice, dedup
 from tillsight.operators.joins import Hot, lookup_join
-from tillsight.operators.keys import invoice_grain, part_of
+from tillsight.operators.keys import part_of
 from tillsight.operators.ranking import quantile_bins
 
 MARGIN = 0.4            # fixed value: assumed profit margin
@@ -28,32 +29,59 @@ def enrich_money(df: DataFrame, margin: float = MARGIN, hot_invoices: Hot | None
     The invoice total is a partial aggregation joined back on the invoice; a hot invoice is split
     by the join (``joins.lookup_join``) rather than sorted in one task as a window would be.
     """
-    df = df.withColumn("revenue", money(F.col("quantity") * F.col("price")))
-    df = df.withColumn("discount", F.lit(0.0))
-    df = df.withColumn("profit", money(F.col("revenue") * F.lit(margin).cast("decimal(3,2)")))
+    df = line_money(df, margin)
     totals = df.groupBy("invoice").agg(F.sum("revenue").cast("decimal(18,2)").alias("order_value"))
     return lookup_join(df, totals, ["invoice"], hot=hot_invoices)
 
 
+def line_money(df: DataFrame, margin: float = MARGIN) -> DataFrame:
+    """T2's columns that follow from the line alone: revenue, discount, profit."""
+    for name, col in measures(margin).items():
+        df = df.withColumn(name, col)
+    return df
+
+
+def measures(margin: float = MARGIN, price: str = "price") -> dict[str, Column]:
+    """Revenue, discount and profit of a line."""
+    revenue = money(F.col("quantity") * F.col(price))
+    return {"revenue": revenue, "discount": F.lit(0.0), "profit": money(revenue * F.lit(margin).cast("decimal(3,2)"))}
+
+
+def priced_lines(valid: DataFrame, order=None, margin: float = MARGIN, hot_invoices: Hot | None = None,
+                 tasks: int | None = None) -> DataFrame:
+    """T1's dedup and T2's order value in one exchange: ``clean.by_invoice`` gives a task all lines of its invoices. The
+    lines of ``hot_invoices`` meet their totals in ``enrich_money`` instead."""
+    rest, cut = by_invoice(valid, hot_invoices, tasks)
+    total = F.sum("revenue").over(Window.partitionBy("invoice")).cast("decimal(18,2)")
+    out = line_money(dedup(rest, order), margin).withColumn("order_value", F.when(F.col("invoice").isNotNull(), total))
+    out = out.select(*valid.columns, "order_value")
+    if cut is not None:
+        cut = enrich_money(dedup(cut, order), margin, hot_invoices)
+        out = out.unionByName(cut.select(*valid.columns, "order_value"))
+    return out
+
+
 def with_date_parts(df: DataFrame, ts: str = "invoice_ts") -> DataFrame:
     """The ten date columns."""
     return df.withColumns(date_parts(ts))
 
 
 def rfm(df: DataFrame, snapshot=SNAPSHOT) -> DataFrame:
-    """T4 + first-appearance attributes: lines to invoices (hash aggregate), invoices to customers.
+    """T4 + first-appearance attributes: lines to (customer, invoice) pairs, pairs to customers, so that the
+    distinct invoices are counted as rows.
 
     recency = whole days from the last purchase to the snapshot; frequency = distinct invoices;
     monetary = Σ revenue (exact decimal). ``first_*`` come from the customer's first line in the
     appearance order (timestamp, invoice, line) and give the dimension's country and key order.
     """
-    first = F.min(F.struct("invoice_ts", "invoice", part_of(df), "line_no", "country")).alias("_first")
-    df = invoice_grain(df, "customer_id", "country")
-    agg = df.groupBy("customer_id").agg(
-        F.max("invoice_ts").alias("last_purchase"),
-        F.count_distinct("invoice").alias("frequency"),
-        F.sum("revenue").alias("monetary"),
-        first)
+    pairs = df.groupBy("customer_id", "invoice").agg(
+        F.max("invoice_ts").alias("_last"), F.sum("revenue").alias("_sum"),
+        F.min(F.struct("invoice_ts", part_of(df), "line_no", "country")).alias("_f"))
+    agg = pairs.groupBy("customer_id").agg(
+        F.max("_last").alias("last_purchase"),
+        F.count("invoice").alias("frequency"),
+        F.sum("_sum").alias("monetary"),
+        F.min(F.struct("_f.invoice_ts", "invoice", "_f.part_no", "_f.line_no", "_f.country")).alias("_first"))
     return agg.select(
         "customer_id", "last_purchase",
         recency_days("last_purchase", snapshot).alias("recency_days"),

@@ -23,9 +23,23 @@ from pyspark.sql import types as T
 TRACKED = 10_000            # keys a sketch follows at least
 MOST_TRACKED = 1_000_000    # and at most: the function's own bound
 
+ROWS_A_TASK = 2_000_000     # lines that one task sorts at most, as a mean
+
 Hot = Mapping[int, int]     # hash of a key -> pieces it is cut into
 
 
+def row_tasks(df: DataFrame, rows: int | None = None) -> int:
+    """How many tasks give each at most ``rows`` rows of ``df``, as a mean. Counts ``df``: of a written table, that reads the
+    files' footers."""
+    return -(-df.count() // (rows or ROWS_A_TASK))
+
+
+def tasks_for(df: DataFrame, rows: int | None = None) -> int | None:
+    """Partitions for a shuffle of ``df`` that sorts its rows, where the session's number is fewer than ``row_tasks``; else None."""
+    need = row_tasks(df, rows)
+    return need if need > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def key_hash(keys: Sequence[str | Column]) -> Column:
     return F.xxhash64(*keys)
 

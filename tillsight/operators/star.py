@@ -1,8 +1,8 @@
 """T9–T13 — build the star schema from raw invoice lines.
 
-One lazy plan ``raw → clean → enrich``; the enriched lines feed five outputs, so they are written
+The cleaned lines with their order value feed five outputs, so they are written
 once to the shared checkpoint folder and read back (a written table cuts the lineage and survives
-executor loss). Dimension keys come from ``keys.surrogate_key``; the fact picks them up by joins
+executor loss); money and date columns follow from a line and are derived where they are read. Dimension keys come from ``keys.surrogate_key``; the fact picks them up by joins
 on the natural keys (location: broadcast, one row per country; customer and product: AQE turns
 the join into a broadcast only when the measured side is below its threshold).
 """
@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.classify import (DEFAULT_CATEGORY, DEFAULT_REGION, REFERENCE_CATEGORY_RULES,
                                           REFERENCE_REGION_RULES, classify, region_from_table, region_of)
-from tillsight.operators.clean import clean
-from tillsight.operators.enrich import SNAPSHOT, enrich_money, rfm, rfm_scores, with_date_parts
-from tillsight.operators.joins import Hot, heavy_keys, lookup_join
-from tillsight.operators.keys import APPEARANCE, first_seen, invoice_grain, surrogate_key
+from tillsight.operators.clean import clean, valid_lines
+from tillsight.operators.enrich import (SNAPSHOT, enrich_money, line_money, priced_lines, rfm, rfm_scores,
+                                        with_date_parts)
+from tillsight.operators.joins import Hot, heavy_keys, lookup_join, tasks_for
+from tillsight.operators.keys import APPEARANCE, first_seen, surrogate_key
 from tillsight.schemas import DIM_CUSTOMER_COLUMNS, DIM_DATE_COLUMNS, DIM_LOCATION_COLUMNS
 from tillsight.session import scratch_path
 
@@ -67,7 +68,7 @@ def enriched_lines(raw: DataFrame, cfg: StarConfig) -> DataFrame:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: cuts lineage, survives executor loss."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -98,7 +99,7 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
                  key_mode: str = "dense") -> DataFrame:
     """One row per country (bounded by the number of countries), region by T15 rules or by a
     lookup table. Numbering in first-appearance order over this bounded set."""
-    ent = first_seen(invoice_grain(lines, "country"), "country")
+    ent = first_seen(lines, "country")
     if key_mode == "hash":
         keyed = ent.withColumn("location_key", F.xxhash64("country"))
     else:
@@ -112,18 +113,19 @@ def dim_location(lines: DataFrame, rules=REFERENCE_REGION_RULES, table: DataFram
 
 
 def fact_sales(lines: DataFrame, dc: DataFrame, dp: DataFrame, dl: DataFrame,
-               hot: Mapping[str, Hot] | None = None) -> DataFrame:
+               hot: Mapping[str, Hot] | None = None, margin: float = 0.4) -> DataFrame:
     """Lines with the three dimension keys (date key is computed) and the measures, at the source's
-    precision. The product join is paid here, so the product's category comes along with its key and no
+    precision; measures that follow from the line are derived behind the joins, so no shuffle carries them. The product join is paid here, so the product's category comes along with its key and no
     mart has to join the lines with the products again. ``hot`` has the hot keys by name (``LINE_KEYS``)."""
     hot = hot or {}
     # Null-safe keys: a null stock code survives cleaning and must find its own product row.
     # Locations are one row per distinct country text; Spark broadcasts them by their measured size.
     loc = dl.select(F.col("country").alias("_loc_nat"), "location_key")
-    f = lookup_join(lines, dc.select("customer_id", "customer_key"), ["customer_id"], hot=hot.get("customer"))
+    f = lines.drop("revenue", "discount", "profit").join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left")
+    f = lookup_join(f, dc.select("customer_id", "customer_key"), ["customer_id"], hot=hot.get("customer"))
     f = lookup_join(f, dp.select("product_id", "product_key", "category"), ["stock_code"], ["product_id"],
                     null_safe=True, hot=hot.get("product"))
-    f = f.join(loc, F.col("country").eqNullSafe(F.col("_loc_nat")), "left")
+    f = line_money(f, margin)
     return f.select(F.col("invoice").alias("invoice_id"), "customer_key", "product_key", "date_key",
                     "location_key", "quantity", F.col("price").alias("unit_price"),
                     "revenue", "discount", "profit", "order_value", "category")
@@ -143,14 +145,19 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     """The whole ETL: raw lines → star. ``persist`` writes the enriched lines and the dimensions
     to the shared folder so each is computed once."""
     cfg = cfg or StarConfig()
-    cleaned = clean(raw, cfg.dedup_order)
+    hot = {}
     if persist:
-        cleaned = materialize(cleaned, "cleaned")  # T1's output, also served by the etl_clean query
-    # One pass over the written lines finds the hot keys of the three line joins.
-    hot = heavy_keys(cleaned, LINE_KEYS) if persist else {}
-    lines = with_date_parts(enrich_money(cleaned, cfg.margin, hot.get("invoice")))
-    if persist:
-        lines = materialize(lines, "lines")
+        valid = valid_lines(raw)
+        found = heavy_keys(valid, {"invoice": LINE_KEYS["invoice"]}).get("invoice")
+        priced = materialize(priced_lines(valid, cfg.dedup_order, cfg.margin, found, tasks_for(raw)), "lines")
+        # One pass over the written lines finds the hot keys of the other line joins.
+        hot = heavy_keys(priced, {k: v for k, v in LINE_KEYS.items() if k != "invoice"})
+        cleaned = priced.drop("order_value")       # T1's output, also served by the etl_clean query
+        lines = line_money(priced, cfg.margin).select(*cleaned.columns, "revenue", "discount", "profit", "order_value")
+    else:
+        cleaned = clean(raw, cfg.dedup_order)
+        lines = enrich_money(cleaned, cfg.margin)
+    lines = with_date_parts(lines)
     metrics = rfm(lines, cfg.snapshot)
     if persist:
         metrics = materialize(metrics, "rfm")      # read by the recency histogram and the ranking
@@ -163,6 +170,6 @@ def build_star(raw: DataFrame, cfg: StarConfig | None = None, persist: bool = Tr
     if persist:
         dc, dp, dl = materialize(dc, "dim_customer"), materialize(dp, "dim_product"), materialize(dl, "dim_location")
     dd = dim_date(lines)
-    fact = fact_sales(lines, dc, dp, dl, hot)
+    fact = fact_sales(lines, dc, dp, dl, hot, cfg.margin)
     return Star(dc, dp, dd, dl, fact, extras={"cleaned": cleaned, "lines": lines, "scored": scored},
                 snapshot=cfg.snapshot)

@@ -18,7 +18,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,13 +37,17 @@ POINT_KEYS = ["customer_key", "product_key"]     # equality on these is answered
 MANIFEST = "manifest.json"      # readable by Spark: no underscore in front
 
 
-def cluster_fact(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def cluster_fact(fact: DataFrame, num_partitions: int | None = None, late: Mapping[str, Column] | None = None) -> DataFrame:
     """Range-partition by (date_key, customer_key) and sort within each file, so Parquet min/max
     statistics prune date predicates (the warehouse's CLUSTER BY); ``key_filters`` prune by customer and product. Invoice and product follow as range
-    keys, so one customer's busy day can be split as well; the other columns only settle the order of ties."""
+    keys, so one customer's busy day can be split as well; the other columns only settle the order of ties. ``late`` are
+    columns that follow from the row's others: they are derived behind the exchange instead of travelling with it."""
     n = num_partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["date_key", "customer_key", "invoice_id", "product_key"]
-    return fact.repartitionByRange(n, *keys).sortWithinPartitions(*keys, *[c for c in fact.columns if c not in keys])
+    late = {c: e for c, e in (late or {}).items() if c in fact.columns}
+    own = [c for c in fact.columns if c not in late]
+    placed = fact.select(*own).repartitionByRange(n, *keys).sortWithinPartitions(*keys, *[c for c in own if c not in keys])
+    return placed.withColumns(late).select(*fact.columns) if late else placed
 
 
 def with_sale_id(fact: DataFrame) -> DataFrame:
@@ -82,11 +86,13 @@ def checked_write(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet", partition_fact_by_month: bool = False,
               cluster: bool = True, max_records_per_file: int | None = None, snapshot: str | None = None,
-              created_at: dt.datetime | None = None, keep: int = 2) -> dict[str, str]:
+              created_at: dt.datetime | None = None, keep: int = 2,
+              fact_partitions: int | None = None, late: Mapping[str, Column] | None = None) -> dict[str, str]:
     """X5 + X6: write a new version of the star, dimensions first, with its counts checked after the write, and publish
     it by swapping the manifest; returns the tables' folders. Re-runnable: every save is a full replace. The order
     grain is aggregated from the fact as written; ``snapshot`` goes into the manifest. CSV files have a header, and
-    the manifest holds every table's schema for reading them back. ``keep`` versions stay, this one included."""
+    the manifest holds every table's schema for reading them back. ``keep`` versions stay, this one included.
+    ``fact_partitions`` and ``late`` go to ``cluster_fact``."""
     from tillsight.operators.distinct import dense, order_bitmaps, with_order_no
     from tillsight.operators.star import order_grain
 
@@ -107,15 +113,15 @@ def save_star(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet",
             df = tables[name].drop(AUDIT)
         if name == "fact_sales":
             df = df.drop(SALE_ID)
-            df = with_sale_id(cluster_fact(df) if cluster else df)
+            df = with_sale_id(cluster_fact(df, fact_partitions, late) if cluster else df)
             if partition_fact_by_month:
                 df = df.withColumn("year_month", F.floor(F.col("date_key") / 100).cast("int"))
                 part = ["year_month"]
         if name in STAR_TABLES:
             df = df.withColumn(AUDIT, F.lit(now).cast("timestamp_ntz"))
         points = [c for c in POINT_KEYS if c in df.columns] if name in ("fact_sales", "fact_orders") and fmt == "parquet" else []
-        filters = key_filters(points) if points else None
-        counts[name] = checked_write(df, target, fmt, part, max_records_per_file, filters)
+        options = {**(key_filters(points) if points else {}), **({"compression": "zstd"} if fmt == "parquet" else {})}
+        counts[name] = checked_write(df, target, fmt, part, max_records_per_file, options)
         out[name], schemas[name] = target, json.loads(df.drop("year_month").schema.json())
     before = manifest(spark, path)
     _put(spark, f"{path}/{MANIFEST}", json.dumps({

@@ -11,6 +11,8 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillsight.operators.enrich import measures
+from tillsight.operators.joins import tasks_for
 from tillsight.operators.star import Star, StarConfig, build_star
 from tillsight.session import scratch_path
 from tillsight.sources import testdata
@@ -43,7 +45,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         if df is None:
             path = scratch_path(spark, "raw")
             lines = testdata.raw_lines(spark, sf_dir)
-            lines.write.mode("overwrite").parquet(path)
+            lines.write.mode("overwrite").option("compression", "zstd").parquet(path)
             df = _RAW[key] = spark.read.schema(lines.schema).parquet(path)
     return df
 
@@ -58,9 +60,11 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     with _LOCK:
         entry = _CACHE.get(key)
         if entry is None:
-            built = build_star(raw(spark, sf_dir), testdata_config(spark, sf_dir))
+            cfg = testdata_config(spark, sf_dir)
+            built = build_star(raw(spark, sf_dir), cfg)
             path = scratch_path(spark, "star")
-            save_star(built.tables(), path, snapshot=built.snapshot)
+            save_star(built.tables(), path, snapshot=built.snapshot, fact_partitions=tasks_for(built.extras["cleaned"]),
+                      late=measures(cfg.margin, "unit_price"))
             # DataFrames are immutable plans: read the tables once and hand the same frames to
             # every mart (file listing and footers are read once per session, not per query).
             t = load_star(spark, path)
