@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tests.conftest import SF001
 from tillsight import warehouse
+from tillsight.operators import joins
 from tillsight.operators.clean import clean, dedup_dealt, valid_lines
 from tillsight.operators.enrich import enrich_money, measures, priced_lines, rfm
-from tillsight.operators.joins import heavy_keys
+from tillsight.operators.joins import heavy_keys, tasks_for
 from tillsight.sources import sinks
 
 COLUMNS = ("invoice string, stock_code string, description string, quantity int, invoice_ts timestamp_ntz, price decimal(18,3), "
@@ -66,3 +68,21 @@ def test_derived_measures_do_not_travel(spark):
     assert late.dtypes == fact.dtypes and rows(late) == rows(fact)
     before = late._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("Relation [")[0]
     assert "profit" not in before and "revenue" not in before
+
+
+def test_files_and_tasks_follow_the_rows(spark, monkeypatch):
+    raw = warehouse.raw(spark, SF001)
+    n = raw.count()
+    assert tasks_for(raw) is None and tasks_for(raw, 100) == -(-n // 100)
+    want = rows(E.queries()["etl_line_order"](spark, SF001))
+    seen = []
+    from tillsight.plans import etl
+
+    def noted(df, path):
+        seen.append(df.rdd.getNumPartitions())
+        sinks.checked_write(df, path)
+
+    monkeypatch.setattr(joins, "ROWS_A_TASK", 200)
+    monkeypatch.setattr(etl, "write_table", noted)
+    assert rows(E.queries()["etl_line_order"](spark, SF001)) == want
+    assert seen[0] >= n // 200 > 5

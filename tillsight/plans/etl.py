@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillsight import warehouse
-from tillsight.operators.clean import clean, clean_accounting
+from tillsight.operators.clean import clean_accounting, dedup_dealt, valid_lines
 from tillsight.operators.enrich import attach_rfm, enrich_money, with_date_parts
+from tillsight.operators.joins import heavy_keys, row_tasks, tasks_for
 from tillsight.operators.quality import key_integrity, profile, sanity_top5, table_counts
 from tillsight.oracle import sql as O
 from tillsight.plans.common import bigint_cols
@@ -133,8 +134,11 @@ def etl_line_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-files")
     order = [F.col(c).desc() if c == "invoice_ts" else F.col(c).asc_nulls_last() for c in _FILE_ORDER]
     lines = warehouse.raw(spark, sf_dir).select(*_FILE_ORDER)
-    write_table(lines.repartitionByRange(_FILES, *order).sortWithinPartitions(*order), path)
-    return bigint_cols(clean(read_transactions(spark, {"files": path})).select("part_no", *_LINE_COLS))
+    # The order is total up to equal lines, so the numbers don't depend on how many files there are.
+    write_table(lines.repartitionByRange(max(_FILES, row_tasks(lines)), *order).sortWithinPartitions(*order), path)
+    valid = valid_lines(read_transactions(spark, {"files": path}))
+    kept = dedup_dealt(valid, None, heavy_keys(valid, {"invoice": ["invoice"]}).get("invoice"), tasks_for(lines))
+    return bigint_cols(kept.select("part_no", *_LINE_COLS))
 
 
 def fact_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
