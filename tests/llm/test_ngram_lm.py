@@ -69,6 +69,18 @@ def test_passes_do_not_change_the_scores(spark):
     assert all(a[k][0] == b[k][0] and math.isclose(a[k][1], b[k][1], rel_tol=1e-12) for k in a)
 
 
+def test_segments_are_partitions_and_not_sorted(spark, monkeypatch):
+    """Rows of a segment stream into the one task that builds it: no sort holds them in the executor."""
+    fed, run = [], lm.in_arrow
+    monkeypatch.setattr(lm, "in_arrow", lambda df, *rest: fed.append(df) or run(df, *rest))
+    model = lm.train(documents(spark).select("doc_id", "text"), F.lit(True), segment_tokens=5000)
+    plan = fed[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" not in plan and plan.count("Exchange") == 2        # by segment, and the masses' own
+    assert model.n > 3 and fed[-1].rdd.getNumPartitions() == model.n
+    got = sorted(r["segment"] for r in model.segments.select("segment").collect())
+    assert got == list(range(model.n))
+
+
 def test_order_of_what_follows(spark):
     """Quantised counts keep the order of what follows a context, but for the filter's false positives: one pair
     in thirty or so answers a level too high."""

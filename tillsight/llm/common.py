@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tillsight.session import scratch_path
 
@@ -137,8 +138,16 @@ def chunks(batches: Iterator[pa.RecordBatch], column: int,
             yield batch.slice(a, b - a)
 
 
+def as_bytes(col: pa.Array) -> pa.Array:
+    """A string column as the binary column of its bytes: the same buffers, unchecked. Other columns as they are."""
+    if pa.types.is_string(col.type):
+        return col.view(pa.binary())
+    return col.view(pa.large_binary()) if pa.types.is_large_string(col.type) else col
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a binary column; nulls are empty."""
+    """(bytes, offsets) of a binary or string column; nulls are empty."""
+    col = as_bytes(col)
     if col.null_count:
         col = col.fill_null(b"")
     kind = np.int64 if pa.types.is_large_binary(col.type) else np.int32
@@ -171,17 +180,20 @@ def append_columns(df: DataFrame, text: str, new: list[tuple[str, str]],
                    work: Callable[[pa.Array], list[pa.Array]], limit: int = CHUNK_BYTES) -> DataFrame:
     """``df`` with columns ``new`` (name, SQL type) made by ``work`` from the text's bytes, chunk by
     chunk in the tasks that read the rows (no shuffle). ``df``'s other columns pass through; one that
-    has the name of a new column is replaced by it."""
+    has the name of a new column is replaced by it. Texts are sent to the workers once: strings as they
+    are, their bytes being read in place; only a column of another type gets a binary copy beside it."""
     df = without(df, [n for n, _ in new])
-    raw = free_name(df, "text_bytes")
-    fed = df.withColumn(raw, F.col(f"`{text}`").cast("binary"))
+    width, fed = len(df.columns), df
+    at = df.columns.index(text) if text in df.columns else [c.lower() for c in df.columns].index(text.lower())
+    if not isinstance(df.schema.fields[at].dataType, (StringType, BinaryType)):
+        at, fed = width, df.withColumn(free_name(df, "text_bytes"), F.col(f"`{text}`").cast("binary"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + "".join(
         f", `{n}` {t}" for n, t in new)
-    last, names = len(fed.columns) - 1, [*df.columns, *(n for n, _ in new)]
+    names = [*df.columns, *(n for n, _ in new)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, last, limit):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *work(batch.column(last))], names=names)
+        for batch in chunks(batches, at, limit):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *work(as_bytes(batch.column(at)))], names=names)
 
     return in_arrow(fed, run, schema)
 

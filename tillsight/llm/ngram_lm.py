@@ -286,17 +286,16 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     n = max(1, -(-tokens // segment_tokens))
     # Segment of a hash: its upper 32 bits times n, shifted down, as segment_of() has it.
     seg = F.shiftrightunsigned(F.shiftrightunsigned("k", 32) * n, 32).cast("int")
-    rows = summed.select("kind", "k", "n").unionByName(mass).select(seg.alias("segment"), "kind", "k", "n")
-    # A segment is a fixed share of the hash range; its share of the distinct keys is bounded.
-    parts = rows.repartition(n, "segment").sortWithinPartitions("segment")
+    # A segment is a fixed share of the hash range; its share of the distinct keys is bounded. It is a partition by
+    # its number, so its rows stream into one task unsorted.
+    parts = summed.select("kind", "k", "n").unionByName(mass).repartitionById(n, seg)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pickle
 
-        def parts_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+        def parts_of(kind: np.ndarray, k: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
             """Keys and values by kind, copied: a batch is not held, and a pair takes 9 bytes."""
-            kind, k, c = (batch.column(i).to_numpy() for i in (1, 2, 3))
-            out = [x[kind == i] for i in range(3) for x in (k.view(np.uint64), c)]
+            out = [x[kind == i] for i in range(3) for x in (k, c)]
             out[3] = level(out[3]).astype(np.int8)
             return out
 
@@ -310,19 +309,16 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
             return pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([len(body)], pa.int64()),
                                                pa.array([body], pa.binary())], names=["segment", "bytes", "body"])
 
-        now, held = None, []
+        held: dict[int, list[list[np.ndarray]]] = {}
         for batch in batches:
-            which = batch.column(0).to_numpy()
+            kind, k, c = (batch.column(i).to_numpy() for i in range(3))
+            k = k.view(np.uint64)
+            which = segment_of(k, n)
             for s in np.unique(which).tolist():
-                if s != now and held:
-                    yield made(now, held)
-                    held = []
-                now = s
-                a, b = np.searchsorted(which, [s, s + 1])
-                held.append(parts_of(batch.slice(int(a), int(b - a))))
-        if held:
-            yield made(now, held)
-        held = batch = which = None
+                here = which == s
+                held.setdefault(s, []).append(parts_of(kind[here], k[here], c[here]))
+        for s in list(held):
+            yield made(s, held.pop(s))
         _release()
 
     segments = stored(in_arrow(parts, build, "segment int, bytes bigint, body binary"), "lm-segments")
