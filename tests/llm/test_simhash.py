@@ -93,3 +93,22 @@ def test_odd_rows_and_empty(spark):
     no_id = spark.createDataFrame([(None, "one two three four five"), (None, "one two three four five"), (None, "x y z")],
                                   "doc_id long, text string")
     assert sorted(r["text"] for r in simhash.keep_one(no_id).collect()) == ["one two three four five", "x y z"]
+
+
+def test_no_exploded_table_is_broadcast(spark, monkeypatch):
+    """Spark takes an exploded table for as small as it was before; such a one must not be gathered in the driver."""
+    plans, run = [], type(spark.range(0)).checkpoint
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a: seen(self) or run(self, *a))
+    values, df = planted(spark, np.random.default_rng(1))
+    # As small as these tables look, a broadcast of their exploded rows is far beyond this bound.
+    limit, old = "spark.sql.maxBroadcastTableSize", spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set(limit, "4k")
+    try:
+        out = simhash.label(df, "fp", "c", root="r")
+        seen(out)
+        got = {r["doc_id"]: r["c"] for r in out.collect()}
+    finally:
+        spark.conf.set(limit, old)
+    assert got == brute_components(list(enumerate(values)))
+    assert not [p for p in plans if "Broadcast" in p] and sum("SortMergeJoin" in p for p in plans) > 2

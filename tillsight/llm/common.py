@@ -61,6 +61,14 @@ def if_small(df: DataFrame) -> DataFrame:
     then shuffles. ``df`` should be cheap to count."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` marked so that a join with it shuffles both sides, whatever Spark takes their sizes for: rows that
+    an explode makes are not in its estimate, nor is what a Parquet file holds unpacked, and a broadcast of them
+    is gathered in the driver."""
+    return df.hint("merge")
+
+
 HOT_SHARE = 1024
 
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import append_columns, free_name, stored
+from tillsight.llm.common import append_columns, free_name, shuffled, stored
 from tillsight.session import checkpoint_dir
 
 SEED = 42
@@ -100,7 +100,7 @@ def links(prints: DataFrame, *, bits: int = 4, segments: int = 2, bucket: int =
                                             F.max("fp").alias("high")).where("n > 1")
     pairs = size.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b"))
     more = size.where("n > 2").select("seg", "at", "n")
-    met = entries.join(more, ["seg", "at"])
+    met = shuffled(entries).join(more, ["seg", "at"])
     small = (met.where(F.col("n") <= bucket).groupBy("seg", "at").agg(F.sort_array(F.collect_list("fp")).alias("m"))
              .select(F.explode(F.expr(
                  f"flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> bit_count(x ^ y) <= {bits}),"
@@ -133,7 +133,8 @@ def components(edges: DataFrame) -> DataFrame:
     its neighbours, and rewrites the edges to what their ends point at. Edges inside a contracted
     group vanish, and the node count falls by a constant factor in expectation, also on long
     chains. Only the edges and the round's pointers are checkpointed; the roots follow at the end by
-    joining the nodes through the pointers of all rounds."""
+    joining the nodes through the pointers of all rounds. A checkpoint keeps the estimate that Spark made before
+    its links were exploded, so no join here is left to a broadcast."""
     checkpoint_dir(edges.sparkSession)
     edges = edges.checkpoint()
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
@@ -144,11 +145,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = (both.groupBy("a").agg(F.min(key("b")).alias("m"))
                 .select(F.col("a").alias("r"), F.least(key("a"), F.col("m"))["v"].alias("up")).checkpoint())
-        labels = (labels.join(step, labels["root"] == step["r"], "left")
+        labels = (shuffled(labels).join(step, labels["root"] == step["r"], "left")
                   .select("node", F.coalesce("up", "root").alias("root")))
         left = step.select(F.col("r").alias("a"), F.col("up").alias("x"))
         right = step.select(F.col("r").alias("b"), F.col("up").alias("y"))
-        edges = (edges.join(left, "a").join(right, "b").where("x <> y")
+        edges = (shuffled(shuffled(edges).join(left, "a")).join(right, "b").where("x <> y")
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().checkpoint())
     return labels
 
@@ -161,10 +162,10 @@ def label(marked: DataFrame, fingerprint: str, component: str, *, doc_id: str =
     ids = marked.select(F.col(f"`{fingerprint}`").alias("fp"), F.col(f"`{doc_id}`").alias("doc"))
     nodes = ids.groupBy("fp").agg(F.min("doc").alias("low")).checkpoint()
     roots = components(links(nodes.select("fp"), bits=bits, segments=segments, bucket=bucket))
-    named = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    named = (shuffled(nodes).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     lows = named.groupBy("root").agg(F.min("low").alias("component"))
-    named = named.join(lows, "root").select("fp", "root", "component")
+    named = shuffled(named).join(lows, "root").select("fp", "root", "component")
     # One fingerprint may hold a third of all rows: rows are salted, and the narrow table of
     # labels is repeated once a salt.
     salts = 16
@@ -172,7 +173,7 @@ def label(marked: DataFrame, fingerprint: str, component: str, *, doc_id: str =
     dealt = marked.withColumn(salt, F.pmod(F.xxhash64(f"`{doc_id}`"), F.lit(salts)).cast("int"))
     table = named.select(F.col("fp").alias("_f"), F.col("root").alias("_r"), F.col("component").alias("_c"),
                          F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
-    out = dealt.join(table, (dealt[f"`{fingerprint}`"] == table["_f"]) & (dealt[f"`{salt}`"] == table["_s"]))
+    out = dealt.join(shuffled(table), (dealt[f"`{fingerprint}`"] == table["_f"]) & (dealt[f"`{salt}`"] == table["_s"]))
     more = [table["_r"].alias(root)] if root else []
     return out.select(*[dealt[f"`{c}`"] for c in marked.columns], table["_c"].alias(component), *more)
 
