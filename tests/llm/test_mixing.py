@@ -131,3 +131,17 @@ def test_odd_rows_and_empty(spark):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.apply_mix(empty(spark)).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert [(r["target"], r["taken"]) for r in mixing.mix(blank).collect()] == [(0.0, 0)] * 2
+
+
+def test_only_the_sources_are_broadcast(spark, monkeypatch):
+    """Files are smaller than the rows they hold, so rows, histograms and texts are never gathered in the driver."""
+    plans, run = [], type(spark.range(0)).checkpoint
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a, **b: seen(self) or run(self, *a, **b))
+    docs = spark.createDataFrame([(i, "x " * (i % 7 + 1), f"s{i % 3}") for i in range(300)], "doc_id long, text string, source string")
+    out = mixing.apply_mix(docs)
+    seen(out)
+    assert {r["source"] for r in out.select("source").distinct().collect()} == {"s0", "s1", "s2"}
+    joins = [line for p in plans for line in p.splitlines() if "BroadcastHashJoin" in line]
+    assert joins and not [line for line in joins if not re.search("_g#|_s#|_pid#", line)]
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 3

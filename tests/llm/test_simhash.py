@@ -99,7 +99,7 @@ def test_no_exploded_table_is_broadcast(spark, monkeypatch):
     """Spark takes an exploded table for as small as it was before; such a one must not be gathered in the driver."""
     plans, run = [], type(spark.range(0)).checkpoint
     seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
-    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a: seen(self) or run(self, *a))
+    monkeypatch.setattr(type(spark.range(0)), "checkpoint", lambda self, *a, **b: seen(self) or run(self, *a, **b))
     values, df = planted(spark, np.random.default_rng(1))
     # As small as these tables look, a broadcast of their exploded rows is far beyond this bound.
     limit, old = "spark.sql.maxBroadcastTableSize", spark.conf.get("spark.sql.maxBroadcastTableSize")

@@ -56,12 +56,6 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 BROADCAST_ROWS = 10_000
 
 
-def if_small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has at most BROADCAST_ROWS rows, else as it is: the join with it
-    then shuffles. ``df`` should be cheap to count."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def shuffled(df: DataFrame) -> DataFrame:
     """``df`` marked so that a join with it shuffles both sides, whatever Spark takes their sizes for: rows that
     an explode makes are not in its estimate, nor is what a Parquet file holds unpacked, and a broadcast of them
@@ -69,6 +63,12 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def if_small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has at most BROADCAST_ROWS rows, else to be shuffled, as is what joins with
+    it. ``df`` should be cheap to count."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else shuffled(df)
+
+
 HOT_SHARE = 1024
 
 

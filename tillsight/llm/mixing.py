@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import WORD_PATTERN, free_name, ship, stored
+from tillsight.llm.common import WORD_PATTERN, free_name, if_small, ship, shuffled, stored
 from tillsight.operators.ranking import sequence
 from tillsight.session import checkpoint_dir
 
@@ -166,20 +166,20 @@ def plan(narrow: DataFrame, *, seed: int = SEED, most: int = MOST, cells: int =
     # Of a length, the buckets before the last one are taken whole, and the last one in part.
     p = picks.where("pick > 0").withColumnsRenamed({"source": "_ps", "size": "_pz"})
     w = Window.partitionBy("source", "size").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    share = (histogram.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    share = (shuffled(histogram.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))))
              .join(p, F.col("source").eqNullSafe(F.col("_ps")) & (F.col("size") == F.col("_pz")))
              .select(F.col("source").alias("_hs"), F.col("size").alias("_hz"), F.col("_b").alias("_hb"),
                      F.least(F.greatest(F.col("pick") - F.col("before"), F.lit(0)), F.col("n")).alias("some"),
                      F.col("n").alias("all")).where("some > 0").checkpoint())
-    out = rows.join(share, F.col("source").eqNullSafe(F.col("_hs")) & (F.col("size") == F.col("_hz"))
-                    & (F.col("_b") == F.col("_hb")), "left")
+    out = shuffled(rows).join(share, F.col("source").eqNullSafe(F.col("_hs")) & (F.col("size") == F.col("_hz"))
+                              & (F.col("_b") == F.col("_hb")), "left")
     # Only buckets taken in part are ranked: one a length.
     part = F.col("some") < F.col("all")
     order = Window.partitionBy("source", "size", "_b").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id")
     ranked = out.where(part).withColumn("_more", (F.row_number().over(order) <= F.col("some")).cast("long"))
     rest = out.where(part.isNull() | ~part).withColumn("_more", F.when(F.col("some").isNotNull(), 1).otherwise(0).cast("long"))
     both = ranked.unionByName(rest)
-    both = both.join(goal.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g")))
+    both = both.join(if_small(goal.withColumnRenamed("source", "_g")), F.col("source").eqNullSafe(F.col("_g")))
     return both.select(*[f"`{c}`" for c in narrow.columns], "source_size", "target",
                        F.when(F.col("size") > 0, F.col("whole") + F.col("_more")).otherwise(0).cast("long").alias("repeats"))
 
@@ -197,7 +197,7 @@ def apply_mix(docs: DataFrame, *, text: str = "text", source: str = "source", do
     times = times.where("times > 0").withColumnsRenamed({"doc_id": "_d", "key": "_k"})
     key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     named = docs.withColumn(body, key)
-    out = named.join(times, named[f"`{doc_id}`"].eqNullSafe(times["_d"]) & (named[f"`{body}`"] == times["_k"]))
+    out = shuffled(named).join(times, named[f"`{doc_id}`"].eqNullSafe(times["_d"]) & (named[f"`{body}`"] == times["_k"]))
     # Equal rows: each is repeated the floor of its share; one of them carries the remainder.
     n = F.when(F.col("same") == 1, F.col("times")).otherwise(F.floor(F.col("times") / F.col("same")))
     whole = out.withColumn("_n", n)

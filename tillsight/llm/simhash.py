@@ -193,7 +193,7 @@ def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", wor
     pick = counted.groupBy("root").agg(F.min(F.struct("row", "doc", "same")).alias("p")).select(
         F.col("p.doc").alias("_pd"), F.col("p.row").alias("_pr"), F.col("p.same").alias("_ps"))
     named = docs.withColumn(key, row)
-    kept = named.join(pick, named[f"`{doc_id}`"].eqNullSafe(pick["_pd"]) & (named[f"`{key}`"] == pick["_pr"]))
+    kept = shuffled(named).join(pick, named[f"`{doc_id}`"].eqNullSafe(pick["_pd"]) & (named[f"`{key}`"] == pick["_pr"]))
     # Equal rows all match; one of them stays.
     once = kept.where("_ps = 1")
     more = kept.where("_ps > 1").dropDuplicates(["_pd", "_pr"])
