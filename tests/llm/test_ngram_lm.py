@@ -177,3 +177,27 @@ def test_odd_rows_and_empty(spark):
     model, none = scored(spark, empty(spark))
     assert (model.tokens, model.distinct, none.count()) == (0, 0, 0)
     assert all(r["base_score"] == 0.0 for r in lm.score(odd(spark).where("text is null"), model).collect())
+
+
+def test_numbers_packed_by_bytes():
+    keys = np.sort(np.random.default_rng(3).integers(0, 2 ** 64, 5000, dtype=np.uint64))
+    body = lm._dumped([lm._steps(keys), np.zeros(0, np.uint64), np.array([0, 2 ** 40, 7])])
+    a, none, c = lm._loaded(body)
+    assert (np.cumsum(a, dtype=np.uint64) == keys).all() and len(none) == 0 and c.tolist() == [0, 2 ** 40, 7]
+    assert len(body) < 7.2 * len(keys)     # a step of 5000 over the range of 64 bits has about 52 bits
+
+
+def test_a_model_beyond_the_bound_takes_two_shuffles(spark, monkeypatch):
+    """However many segments there are, texts and answers are written once, and not once a pass; columns, nulls, repeated
+    rows and binary texts come out as they do after a broadcast."""
+    names, run = [], lm.stored
+    docs = odd(spark).union(odd(spark).withColumn("text", F.concat("text", F.lit(" and more of the same words"))))
+    model = lm.train(docs, F.lit(True), segment_tokens=500)
+    assert model.n > 20
+    monkeypatch.setattr(lm, "stored", lambda df, name: names.append(name) or run(df, name))
+    for fed in (docs, docs.withColumn("text", F.col("text").cast("binary"))):
+        one, many = (lm.score(fed, model, broadcast_bytes=b) for b in (1 << 30, 1))
+        assert one.columns == many.columns and one.dtypes == many.dtypes
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    assert names == ["lm-chunks", "lm-answers"] * 2
+    assert lm.score(docs.limit(0), model, broadcast_bytes=1).count() == 0

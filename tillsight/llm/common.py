@@ -128,7 +128,21 @@ def stored(df: DataFrame, name: str = "llm") -> DataFrame:
     lost executor re-reads the table instead of doing it again."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Give disk back between two steps: delete ``tables`` (of `stored`, read by nothing any more), and let Spark
+    delete the shuffle files of queries that are over, which otherwise lie until the driver happens to collect
+    its garbage. The listeners hold the last query until another one has run."""
+    spark.range(1).count()
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for t in tables:
+        path = jvm.org.apache.hadoop.fs.Path(t._stored_at)
+        path.getFileSystem(conf).delete(path, True)
+    jvm.System.gc()
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int,

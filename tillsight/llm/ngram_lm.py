@@ -21,11 +21,10 @@ term and the share are both scaled down to MOST. A text's first token has only P
 through the one shuffle of pairs. Of a billion different tokens about one in 140,000 shares its mass with another.
 
 **Segments.** Tables are cut by hash range into segments that are built inside tasks, each of
-bounded size. As many segments as fit into `broadcast_bytes` are broadcast at a time. Where all fit,
-texts are read and scored in one pass. Beyond that, hashes of the positions are written out once, each
-pass resolves the positions whose hashes fall into its segments, and the scores follow from the
-resolved values: the same numbers for any number of passes, and a broadcast that never exceeds
-its bound.
+bounded size. Where all fit into `broadcast_bytes`, they are broadcast and texts are scored as they are
+read. Beyond that nothing is broadcast: rows are stored in chunks, a chunk asks every segment for its
+distinct tokens and pairs (one shuffle, to the tasks that hold the segments), and the answers meet the
+chunk again (a second one). The numbers are the same, and disk and time grow with the input only.
 
 Defined cases: a null text is an empty text (one end token); an empty table gives an empty result,
 and without training tokens N = V = 0 and every token has P0 = 1 / 1; repeated rows are counted
@@ -40,8 +39,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-from tillsight.llm.common import ASCII_LOWER, append_columns, buffers, chunks, in_arrow, stored, word_spans
+from tillsight.llm.common import (ASCII_LOWER, append_columns, as_bytes, buffers, chunks, free_name, in_arrow, release,
+                                  stored, without, word_spans)
 from tillsight.session import checkpoint_dir
 
 BASE, PROBES, BITS_AN_ENTRY = 2.0, 3, 8
@@ -219,10 +220,12 @@ def segment_of(keys: np.ndarray, n: int) -> np.ndarray:
 
 
 class Model:
-    """Totals of the training tokens, and the segments as a stored table."""
+    """Totals of the training tokens, and the segments as a stored table. ``spent``: stored tables that only the
+    segments were made of."""
 
-    def __init__(self, tokens: int, distinct: int, segments: DataFrame, n: int, sizes: list[int]):
+    def __init__(self, tokens: int, distinct: int, segments: DataFrame, n: int, sizes: list[int], spent: list[DataFrame]):
         self.tokens, self.distinct, self.segments, self.n, self.sizes = tokens, distinct, segments, n, sizes
+        self.spent = spent
 
     def passes(self, limit: int) -> list[list[int]]:
         """Segment numbers by pass, each within ``limit`` bytes (one segment at least)."""
@@ -275,6 +278,7 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
     kind = F.col("k").bitwiseAND(1)
     summed = seen.groupBy("k", "c").agg(F.sum("n").alias("n")).where((kind == 0) | (F.col("n") >= min_count))
     summed = stored(summed.select(kind.cast("int").alias("kind"), "k", "c", "n"), "lm-counts")
+    release(docs.sparkSession)
     total = summed.where("kind = 0").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = int(total["n"] or 0), int(total["v"])
     # The context of a pair as a token's upper bits; what a pair of count n is worth when it is read back.
@@ -322,8 +326,9 @@ def train(docs: DataFrame, usable: Column, *, text: str = "text", min_count: int
         _release()
 
     segments = stored(in_arrow(parts, build, "segment int, bytes bigint, body binary"), "lm-segments")
+    release(docs.sparkSession)
     sizes = {r["segment"]: r["bytes"] for r in segments.select("segment", "bytes").collect()}   # n rows
-    return Model(tokens, distinct, segments, n, [sizes.get(s, 0) for s in range(n)])
+    return Model(tokens, distinct, segments, n, [sizes.get(s, 0) for s in range(n)], [summed])
 
 
 def _log_base(count: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
@@ -375,55 +380,135 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", broadcast_bytes:
 
         return append_columns(docs, text, _OUT, work, CHUNK)
 
-    # More segments than may be broadcast at once: positions carry what has been resolved so far.
-    names = ["known", "before", "pair", "mass"]
-    start = [("hashes", "binary"), *((x, "binary") for x in names)]
-
-    def begin(col: pa.Array) -> list[pa.Array]:
-        h, at = token_hashes(col)
-        edge = np.searchsorted(at, np.arange(len(col) + 1))
-        cut = [(a, b) for a, b in zip(edge, edge[1:], strict=False)]
-        none = np.full(len(h), -1, np.int64)
-        return [pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (h, none, none, none, none)]
-
-    own = [c for c in docs.columns if c != text]
-    state = stored(append_columns(docs, text, start, begin, CHUNK).drop(text), "lm-state")
-    width = len(own)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema)
-    for numbers in passes:
-        held = sc.broadcast(model.tables(numbers))
-
-        def resolve(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in chunks(batches, width):
-                h, at, got = _unpacked(batch, width)
-                fresh = _looked_up(held.value, h, at)
-                shifted = np.concatenate([[0], h[:-1]]).astype(np.uint64)
-                first = np.concatenate([[True], at[1:] != at[:-1]])
-                fresh[1] = np.where(first, 0, np.where(segment_in(held.value, shifted), fresh[1], -1))
-                got = [np.where(a >= 0, a, b) for a, b in zip(got, fresh, strict=True)]
-                edge = np.searchsorted(at, np.arange(batch.num_rows + 1))
-                cols = [pa.array([x[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)], pa.binary())
-                        for x in got]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:width + 1], *cols], names=batch.schema.names)
-
-        state = stored(in_arrow(state, resolve, fields), "lm-state")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, width):
-            _, at, got = _unpacked(batch, width)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:width], *_sums(at, batch.num_rows, *got, tokens, distinct)],
-                names=[*own, *(n for n, _ in _OUT)])
-
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.schema.fields[:width])
-    return in_arrow(state, finish, ", ".join(x for x in [kept, *(f"{n} {t}" for n, t in _OUT)] if x))
-
+    return _asked(docs, model, text)
+
+
+def _asked(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """The same without a broadcast, for a model of any size: chunks of rows are stored under numbers, each asks every
+    segment once for its distinct keys, and the answers meet the chunk again."""
+    spark, n, tokens, distinct = docs.sparkSession, model.n, model.tokens, model.distinct
+    df = without(docs, [x for x, _ in _OUT])
+    width, fed = len(df.columns), df
+    at = df.columns.index(text) if text in df.columns else [c.lower() for c in df.columns].index(text.lower())
+    if not isinstance(df.schema.fields[at].dataType, (StringType, BinaryType)):
+        at, fed = width, df.withColumn(free_name(df, "text_bytes"), F.col(f"`{text}`").cast("binary"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    names = [*df.columns, *(x for x, _ in _OUT)]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        for batch in chunks(batches, at, CHUNK):
+            # A number of its own, whichever attempt of the task has made it: a chunk is one row from here on.
+            yield _rows(chunk=[uuid.uuid4().bytes], part=[-1], body=[_packed(batch)])
+
+    def distinct_keys(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        h, of = token_hashes(as_bytes(batch.column(at)))
+        p, has = pair_hashes(h, of)
+        return h, of, has, *np.unique(h, return_inverse=True), *np.unique(p[has], return_inverse=True)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            _, _, _, u, _, v, _ = distinct_keys(_unpacked(row["body"]))
+            cut = [np.searchsorted(segment_of(k, n), np.arange(n + 1)) for k in (u, v)]
+            parts = [s for s in range(n) if cut[0][s] < cut[0][s + 1] or cut[1][s] < cut[1][s + 1]]
+            yield _rows(chunk=[row["chunk"]] * len(parts), part=parts, body=[_dumped(
+                [_steps(k[c[s]:c[s + 1]]) for k, c in zip((u, v), cut, strict=True)]) for s in parts])
+        _release()
 
-def segment_in(t: Tables, keys: np.ndarray) -> np.ndarray:
-    return np.isin(segment_of(keys, t.n), list(t.segments))
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pickle
 
+        none = np.zeros(0, np.uint64)
+        empty = Segment(none, none, none, none.astype(np.int64))      # a hash range without any key
+        here, segment = -1, empty
+        for row in _each(batches):       # a segment comes before what is asked of it
+            if row["part"] != here:
+                here, segment = row["part"], empty
+            if row["chunk"] is None:
+                segment = pickle.loads(row["body"])
+                continue
+            u, v = (np.cumsum(x, dtype=np.uint64) for x in _loaded(row["body"]))
+            yield _rows(chunk=[row["chunk"]], part=[here], body=[_dumped([segment.count(u), segment.mass(u), segment.levels(v)])])
+        _release()
 
-def _unpacked(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    cols = [[b or b"" for b in batch.column(width + i).to_pylist()] for i in range(5)]
-    at = np.repeat(np.arange(batch.num_rows), [len(b) // 8 for b in cols[0]])
-    return np.frombuffer(b"".join(cols[0]), np.uint64), at, [np.frombuffer(b"".join(c), np.int64) for c in cols[1:]]
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def whole(body: bytes, got: list) -> pa.RecordBatch:
+            batch = _unpacked(body)
+            h, of, has, u, token, v, pair = distinct_keys(batch)
+            count, mass, level_of = (np.concatenate(x).astype(np.int64) for x in zip(*got, strict=True))
+            levels = np.zeros(len(h), np.int64)
+            levels[has] = level_of[pair]
+            known, mass = count[token], mass[token]
+            before, of_mass = (np.where(has, np.concatenate([[-1], x[:-1]]), 0) for x in (known, mass))
+            return pa.RecordBatch.from_arrays([*batch.columns[:width], *_sums(
+                of, batch.num_rows, known, before, levels, of_mass, tokens, distinct)], names=names)
+
+        held, got = None, []
+        for row in _each(batches):       # a chunk comes before its answers, and they in the order of their keys
+            if row["part"] >= 0:
+                got.append(_loaded(row["body"]))
+                continue
+            if held is not None:
+                yield whole(held, got)
+            held, got = row["body"], []
+        if held is not None:
+            yield whole(held, got)
+
+    release(spark, *model.spent)
+    model.spent = []
+    packs = stored(in_arrow(fed, pack, _ROW), "lm-chunks")
+    body = model.segments.select(F.lit(None).cast("binary").alias("chunk"), F.col("segment").alias("part"), "body")
+    asked = in_arrow(packs, ask, _ROW).unionByName(body).repartitionById(n, F.col("part"))
+    answers = stored(in_arrow(asked.sortWithinPartitions("part", F.col("chunk").asc_nulls_first()), answer, _ROW), "lm-answers")
+    release(spark)
+    both = packs.unionByName(answers).repartition(4 * n, "chunk").sortWithinPartitions("chunk", "part")
+    return in_arrow(both, finish, ", ".join([fields, *(f"{x} {t}" for x, t in _OUT)]))
+
+
+_ROW = "chunk binary, part int, body binary"
+
+
+def _rows(chunk: list, part: list, body: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(chunk, pa.binary()), pa.array(part, pa.int32()), pa.array(body, pa.binary())],
+                                      names=["chunk", "part", "body"])
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {k: batch.column(j)[i].as_py() for j, k in enumerate(("chunk", "part", "body"))}
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as the steps between them."""
+    return np.diff(keys, prepend=np.zeros(1, np.uint64))
+
+
+def _dumped(arrays: list[np.ndarray]) -> bytes:
+    """Non-negative numbers of 64 bits, packed: the first bytes of all, then the second ones, so that bytes
+    that are mostly zero take next to nothing."""
+    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T) for x in arrays]
+    head = np.array([len(x) for x in arrays], "<u4").tobytes()
+    return bytes([len(arrays)]) + head + pa.compress(b"".join(x.tobytes() for x in planes), codec="zstd", asbytes=True)
+
+
+def _loaded(body: bytes) -> list[np.ndarray]:
+    edge = 1 + 4 * body[0]
+    sizes = np.frombuffer(body, "<u4", body[0], 1).astype(np.int64)
+    raw = pa.decompress(body[edge:], decompressed_size=8 * int(sizes.sum()), codec="zstd", asbytes=True)
+    ends = 8 * np.cumsum(sizes)
+    return [np.ascontiguousarray(np.frombuffer(raw[e - 8 * k:e], np.uint8).reshape(8, -1).T).view("<u8").ravel()
+            for e, k in zip(ends.tolist(), sizes.tolist(), strict=True)]
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(body: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(body) as r:
+        return r.read_next_batch()
