@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import append_columns, free_name, shuffled, stored
+from tillsight.llm.common import append_columns, free_name, release, shuffled, stored
 from tillsight.session import checkpoint_dir
 
 SEED = 42
@@ -137,6 +137,7 @@ def components(edges: DataFrame) -> DataFrame:
     its links were exploded, so no join here is left to a broadcast."""
     checkpoint_dir(edges.sparkSession)
     edges = edges.checkpoint()
+    release(edges.sparkSession)     # the entries' shuffles, far larger than what follows
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
     rounds = 0
     while not edges.isEmpty():
@@ -151,6 +152,7 @@ def components(edges: DataFrame) -> DataFrame:
         right = step.select(F.col("r").alias("b"), F.col("up").alias("y"))
         edges = (shuffled(shuffled(edges).join(left, "a")).join(right, "b").where("x <> y")
                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().checkpoint())
+    release(edges.sparkSession)
     return labels
 
 
